@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftlog.functions.text import split_drop_trailing
 from driftlog.schemas import CSV_FIELDS, JSON_TEXT
@@ -29,6 +30,17 @@ def _apply_policy(df: DataFrame, bad: Column, on_corrupt: str, what: str) -> Dat
     return df.withColumn("_corrupt", bad)
 
 
+def _evaluate_once(df: DataFrame, keep: tuple[str, ...], expr: Column, name: str) -> DataFrame:
+    """Project ``expr`` as column ``name`` so that it is computed once per row.
+
+    A plain alias would be inlined by the optimizer into every later
+    reference -- including filters pushed below the projection -- and an
+    expensive parse would run several times per row.  A generator output
+    cannot be inlined or have filters pushed beneath it.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(expr.alias(name)))))
+
+
 def parse_csv_events(df: DataFrame, line_col: str = "line", on_corrupt: str = "drop",
                      keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """``uid,eventName,time,eventTypeId,province`` lines -> typed rows with ``cnt = 1``.
@@ -38,8 +50,8 @@ def parse_csv_events(df: DataFrame, line_col: str = "line", on_corrupt: str = "d
     trimmed.
     """
     parts = split_drop_trailing(F.col(line_col), ",")
-    staged = df.select(*keep, F.col(line_col), parts.alias("_f"))
-    bad = F.col(line_col).isNull() | (F.size("_f") < 5)
+    staged = _evaluate_once(df, keep, parts, "_f")
+    bad = F.col("_f").isNull() | (F.size("_f") < 5)
     staged = _apply_policy(staged, bad, on_corrupt, "CSV")
     fields = [F.get(F.col("_f"), i).alias(name) for i, name in enumerate(CSV_FIELDS)]
     extra = ["_corrupt"] if on_corrupt == "flag" else []
@@ -55,10 +67,10 @@ def parse_json_events(df: DataFrame, line_col: str = "line", on_corrupt: str = "
     Missing coordinates become 0.0 (primitive defaults).  Empty, null,
     non-object and unparseable lines are corrupt.
     """
-    schema = JSON_TEXT.add("_bad_json", "string")
+    schema = T.StructType([*JSON_TEXT.fields, T.StructField("_bad_json", T.StringType())])
     parsed = F.from_json(F.col(line_col), schema,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad_json"})
-    staged = df.select(*keep, parsed.alias("_j"))
+    staged = _evaluate_once(df, keep, parsed, "_j")
     j = F.col("_j")
     jd_num = F.expr("try_cast(_j.jd AS DOUBLE)")
     wd_num = F.expr("try_cast(_j.wd AS DOUBLE)")

@@ -29,19 +29,28 @@ def with_archive_bucket(df: DataFrame, clock: Column | str | None = None,
 
 
 def write_archive(df: DataFrame, path: str, line_col: str = "line", bucket_col: str = "bucket",
+                  order_col: str | None = None, partitions: int | None = None,
                   max_records_per_file: int | None = None, avg_line_bytes: int = 256,
                   mode: str = "append") -> None:
     """Write text lines into ``path/bucket=<hour>/`` folders.
 
-    No repartition by bucket: each task writes its own rows (the writer sorts
-    them by bucket locally), so one busy hour is spread over all tasks rather
-    than funnelled into one.  Files roll at ``max_records_per_file`` rows,
-    by default sized so a file holds about ``ROLL_BYTES``.
+    With ``order_col`` the rows are first range-partitioned on
+    ``(bucket, order_col)``: every task then holds a contiguous slice and
+    writes one file per hour it touches, so the folder tree gets about
+    ``partitions + hours`` files instead of ``tasks x hours`` small ones, and
+    a busy hour is still split over several tasks by the order column.
+    Without ``order_col`` each task writes its own rows as they are (the
+    right choice for one micro-batch, which spans one or two hours).
+    Files roll at ``max_records_per_file`` rows, by default sized so a file
+    holds about ``ROLL_BYTES``.
     """
     rows = max_records_per_file or max(1, ROLL_BYTES // max(1, avg_line_bytes))
-    (df.select(F.col(line_col).alias("value"), F.col(bucket_col).alias("bucket"))
-     .write.mode(mode).option("maxRecordsPerFile", rows)
-     .partitionBy("bucket").text(path))
+    out = df.select(F.col(line_col).alias("value"), F.col(bucket_col).alias("bucket"),
+                    *([F.col(order_col).alias("_order")] if order_col else []))
+    if order_col:
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartitionByRange(n, "bucket", "_order").drop("_order")
+    out.write.mode(mode).option("maxRecordsPerFile", rows).partitionBy("bucket").text(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -133,9 +133,9 @@ def q_archive_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     beans = _json_beans(spark, sf_dir)
     fields = {"area": "area", "city": "city", "eventType": "event_type", "jd": "jd",
               "province": "province", "seq": "seq", "time": "time", "uid": "uid", "wd": "wd"}
-    lines = decode.encode_json_events(beans, out_col="line", keep=("ts",), fields=fields)
+    lines = decode.encode_json_events(beans, out_col="line", keep=("ts", "seq"), fields=fields)
     path = shared_path(spark, "archive", unique=True)
-    sinks.write_archive(sinks.with_archive_bucket(lines, clock="ts"), path)
+    sinks.write_archive(sinks.with_archive_bucket(lines, clock="ts"), path, order_col="seq")
     back = sinks.read_archive(spark, path)
     seq = F.get_json_object("value", "$.seq").cast("long")
     return back.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(seq).alias("first_seq"),

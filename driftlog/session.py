@@ -24,6 +24,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "4096",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
