@@ -4,7 +4,9 @@ A precision-``p`` geohash interleaves ``ceil(5p/2)`` longitude bits with
 ``floor(5p/2)`` latitude bits, longitude first, and spells the result five
 bits per character.  Bisection of ``[-180, 180]`` into ``2**k`` cells is the
 same as ``floor((lon + 180) * 2**k / 360)`` clamped to ``2**k - 1`` (the top
-edge belongs to the last cell), so every bit comes from one integer.
+edge belongs to the last cell), so every bit comes from one integer; the
+index is checked against the exact cell edges to stay equal to bisection
+where floating-point rounding would move it.
 """
 
 from __future__ import annotations
@@ -17,9 +19,16 @@ GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 
 def _cell_index(value: Column, lo: float, span: float, bits: int) -> Column:
-    n = float(1 << bits)
-    raw = F.floor((value - F.lit(lo)) * F.lit(n) / F.lit(span)).cast("long")
-    return F.least(F.lit((1 << bits) - 1).cast("long"), F.greatest(F.lit(0).cast("long"), raw))
+    n = 1 << bits
+    width = span / n  # an exact binary fraction for the spans used here
+    raw = F.floor((value - F.lit(lo)) * F.lit(float(n)) / F.lit(span)).cast("long")
+    # The closed form can be one cell off when ``value - lo`` rounds (e.g. a
+    # tiny negative longitude); cell edges are exact, so compare and correct.
+    edge = F.lit(lo) + raw.cast("double") * F.lit(width)
+    fixed = (F.when(value < edge, raw - 1)
+             .when(value >= edge + F.lit(width), raw + 1)
+             .otherwise(raw))
+    return F.least(F.lit(n - 1).cast("long"), F.greatest(F.lit(0).cast("long"), fixed))
 
 
 def geohash(lat: Column | str, lon: Column | str, precision: int = 5) -> Column:

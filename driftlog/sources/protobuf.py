@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftlog.schemas import LOG_BEAN
 
@@ -70,33 +71,44 @@ _OUT_SCHEMA = ", ".join(f"{n} {k}" for n, _, k in LOG_BEAN_FIELDS)
 
 
 def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt: str = "error",
-                       native: bool = False) -> DataFrame:
+                       native: bool = False, keep: tuple[str, ...] = (),
+                       item_col: str | None = None) -> DataFrame:
     """Binary ``LogBeans`` batches -> one row per ``LogBean`` (0..n per batch).
 
+    ``keep`` columns of the batch row are repeated on each of its rows and
+    ``item_col`` (if given) numbers the rows inside their batch, so
+    ``(batch seq, item)`` orders decoded rows deterministically.
     ``on_corrupt``: ``"error"`` fails the task on bytes that do not parse
     (the reference's behaviour), ``"drop"`` skips the whole batch.
     Unset strings decode as ``""`` and unset doubles as ``0.0`` (proto3).
     """
     if on_corrupt not in ("error", "drop"):
         raise ValueError("on_corrupt must be 'error' or 'drop'")
+    keep = tuple(keep)
     if native:
         from pyspark.sql.protobuf.functions import from_protobuf
 
         mode = "FAILFAST" if on_corrupt == "error" else "PERMISSIVE"
         msg = from_protobuf(F.col(payload_col), f"{PROTO_PACKAGE}.LogBeans",
                             binaryDescriptorSet=descriptor_set(), options={"mode": mode})
-        return (df.select(F.explode(msg[BATCH_FIELD[0]]).alias("_b"))
-                .select(*[F.col("_b")[n].alias(n) for n in _NAMES]))
+        items = F.posexplode(msg[BATCH_FIELD[0]]).alias("_i", "_b")
+        out = df.select(*keep, items)
+        return out.select(*keep, *([F.col("_i").cast("long").alias(item_col)] if item_col else []),
+                          *[F.col("_b")[n].alias(n) for n in _NAMES])
 
     strict = on_corrupt == "error"
+    extra = [df.schema[c] for c in keep]
+    out_schema = T.StructType(extra + ([T.StructField(item_col, T.LongType())] if item_col else [])
+                              + list(LOG_BEAN.fields))
+    out_names = [f.name for f in out_schema.fields]
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from google.protobuf.message import DecodeError
 
         beans_cls, _ = message_classes()
         for pdf in batches:
-            cols = {n: [] for n in _NAMES}
-            for payload in pdf[payload_col]:
+            cols = {n: [] for n in out_names}
+            for r, payload in enumerate(pdf[payload_col]):
                 if payload is None:
                     continue
                 try:
@@ -105,12 +117,16 @@ def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt:
                     if strict:
                         raise
                     continue
-                for b in getattr(msg, BATCH_FIELD[0]):
+                for i, b in enumerate(getattr(msg, BATCH_FIELD[0])):
+                    for c in keep:
+                        cols[c].append(pdf[c].iat[r])
+                    if item_col:
+                        cols[item_col].append(i)
                     for n in _NAMES:
                         cols[n].append(getattr(b, n))
-            yield pd.DataFrame(cols, columns=_NAMES)
+            yield pd.DataFrame(cols, columns=out_names)
 
-    return df.select(payload_col).mapInPandas(decode, LOG_BEAN)
+    return df.select(*keep, payload_col).mapInPandas(decode, out_schema)
 
 
 def encode_log_batches(df: DataFrame, rows_per_batch: int = 100, out_col: str = "payload") -> DataFrame:
