@@ -124,7 +124,8 @@ def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt:
                         cols[item_col].append(i)
                     for n in _NAMES:
                         cols[n].append(getattr(b, n))
-            yield pd.DataFrame(cols, columns=out_names)
+            if cols[out_names[0]]:
+                yield pd.DataFrame(cols, columns=out_names)
 
     return df.select(*keep, payload_col).mapInPandas(decode, out_schema)
 
@@ -152,6 +153,7 @@ def encode_log_batches(df: DataFrame, rows_per_batch: int = 100, out_col: str =
                         if v is not None and not (isinstance(v, float) and pd.isna(v)):
                             setattr(b, n, v)
                 out.append(msg.SerializeToString())
-            yield pd.DataFrame({out_col: out})
+            if out:
+                yield pd.DataFrame({out_col: out})
 
     return df.select(*present).mapInPandas(encode, f"{out_col} binary")

@@ -83,7 +83,8 @@ def enrich_stream(payloads: DataFrame, load_places: Loader, load_dictionary: Loa
 
 def scoreboard_stream(lines: DataFrame, names: DataFrame, changes: str, checkpoint: str,
                       trigger: dict | None = None, on_missing: str = "null",
-                      name: str | None = None) -> StreamingQuery:
+                      name: str | None = None,
+                      after_batch: Callable[[int], None] | None = None) -> StreamingQuery:
     """P2: CSV ``lines`` (with ``seq``) -> cell changes in ``changes/batch_id=N``.
 
     The running count is a native streaming aggregation in update mode
@@ -91,6 +92,8 @@ def scoreboard_stream(lines: DataFrame, names: DataFrame, changes: str, checkpoi
     Each micro-batch turns the updated keys into scoreboard cells; the
     current board is ``board_table(changes)``.  ``names`` is a static,
     resolved dictionary; a JDBC-backed one is re-queried every micro-batch.
+    ``after_batch(batch_id)`` runs after a batch's changes are written
+    (progress hooks, failure drills).
     """
     rows = decode.parse_csv_events(lines)
     named = dictionary.lookup_event_names(rows, names, on_missing=on_missing,
@@ -105,6 +108,8 @@ def scoreboard_stream(lines: DataFrame, names: DataFrame, changes: str, checkpoi
         out = cells.select(F.concat_ws("|", "event_name", "first_dt").alias("board_key"), "event_type",
                            F.col("cnt").cast("string").alias("value"), "last_seq")
         sinks.write_changes(out, changes, batch_id)
+        if after_batch is not None:
+            after_batch(batch_id)
 
     writer = summary.writeStream.outputMode("update").foreachBatch(run)
     return _start(writer, checkpoint, trigger, name)
