@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlog.functions.geohash import geohash5
+from driftlog.functions.geohash import with_geohash
 from driftlog.functions.text import empty_to_null, json_text_field, null_or_empty, split_drop_trailing
 from driftlog.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
 
@@ -26,7 +26,7 @@ Resolver = Callable[[DataFrame], DataFrame]
 
 def with_geohash5(df: DataFrame, lat: str = "lat", lon: str = "lon",
                   out_col: str = "geohash5") -> DataFrame:
-    return df.withColumn(out_col, geohash5(lat, lon))
+    return with_geohash(df, lat, lon, out_col)
 
 
 def known_places(places: DataFrame) -> DataFrame:
@@ -52,12 +52,14 @@ def missing_cells(facts: DataFrame, places: DataFrame, seq: str = "seq", cell: s
     Facts are reduced per cell first (partial aggregation, so a hot cell is
     combined map-side), and only the per-cell rows meet the dictionary.
     """
+    # Two primitive min_by's (seq is unique, so both pick the same row) keep
+    # the aggregation hash-based; a struct-valued min_by would force a sort.
     first = (facts.where(F.col(cell).isNotNull())
              .groupBy(cell)
-             .agg(F.min_by(F.struct(F.col(lon).alias("lon"), F.col(lat).alias("lat")), seq).alias("_p")))
+             .agg(F.min_by(lon, seq).alias("lon"), F.min_by(lat, seq).alias("lat")))
     known = known_places(places).select(F.col("geohash5").alias(cell))
     return (first.join(known, cell, "left_anti")
-            .select(F.col(cell).alias("geohash5"), "_p.lon", "_p.lat"))
+            .select(F.col(cell).alias("geohash5"), "lon", "lat"))
 
 
 def fill_place_cache(facts: DataFrame, places: DataFrame, resolver: Resolver,

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlog.functions.geohash import geohash5
+from driftlog.functions.geohash import with_geohash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,7 +84,7 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     lg = log(spark, sf_dir)
-    return lg.withColumn("geohash5", geohash5("lat", "lon"))
+    return with_geohash(lg, "lat", "lon")
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:

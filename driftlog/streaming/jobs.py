@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from driftlog.functions.geohash import geohash5
+from driftlog.functions.geohash import with_geohash
 from driftlog.functions.text import date_part
 from driftlog.operators import decode, dictionary, metrics, places, route, sinks
 from driftlog.sources.protobuf import decode_log_batches
@@ -41,7 +41,7 @@ def _start(writer, checkpoint: str, trigger: dict | None, name: str | None) -> S
 def enrich_batch(batch: DataFrame, place_table: DataFrame, names: DataFrame,
                  resolver: places.Resolver | None = None, on_missing: str = "null"):
     """One micro-batch of decoded rows -> (enriched rows, grown place table or None)."""
-    geo = batch.withColumn("geohash5", geohash5("latitude", "longitude"))
+    geo = with_geohash(batch, "latitude", "longitude")
     grown = None
     if resolver is not None:
         grown = places.fill_place_cache(geo, place_table, resolver, seq="seq",
@@ -127,7 +127,7 @@ def split_archive_batch(batch: DataFrame, place_table: DataFrame, batch_id: int,
                         archive_out: str, clock: str | None = None,
                         kafka_opts: dict | None = None) -> None:
     """Enrich one batch, send side routes, archive the main stream by hour."""
-    geo = batch.withColumn("geohash5", geohash5("wd", "jd"))
+    geo = with_geohash(batch, "wd", "jd")
     enriched = places.enrich_places(geo.drop("area"), place_table).withColumnRenamed("district", "area")
     coded = decode.encode_json_events(enriched, out_col="json", keep=("seq", "event_type") +
                                       (("ts",) if clock else ()))

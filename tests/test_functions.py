@@ -83,3 +83,14 @@ def test_date_part_and_hour_folder(spark):
     r = df.select(date_part("t").alias("d"), hour_folder("ts").alias("h"),
                   hour_folder(F.col("ts").cast("timestamp_ntz")).alias("h2")).first()
     assert (r.d, r.h, r.h2) == ("2024-01-01", "2024-01-02--01", "2024-01-02--01")
+
+
+def test_staged_and_column_forms_agree(spark):
+    from driftlog.functions import with_geohash
+    import random
+    rnd = random.Random(11)
+    pts = [(rnd.uniform(-95, 95), rnd.uniform(-185, 185)) for _ in range(500)] + [(None, 3.0)]
+    df = spark.createDataFrame(pts, "lat double, lon double")
+    a = with_geohash(df, "lat", "lon", "g").select("g").collect()
+    b = df.select(geohash5("lat", "lon").alias("g")).collect()
+    assert a == b
