@@ -103,11 +103,16 @@ def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt:
     out_names = [f.name for f in out_schema.fields]
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from operator import attrgetter
+
         from google.protobuf.message import DecodeError
 
         beans_cls, _ = message_classes()
+        fields = attrgetter(*_NAMES)
         for pdf in batches:
-            cols = {n: [] for n in out_names}
+            values: list[tuple] = []
+            owners: list[int] = []
+            items: list[int] = []
             for r, payload in enumerate(pdf[payload_col]):
                 if payload is None:
                     continue
@@ -117,15 +122,19 @@ def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt:
                     if strict:
                         raise
                     continue
-                for i, b in enumerate(getattr(msg, BATCH_FIELD[0])):
-                    for c in keep:
-                        cols[c].append(pdf[c].iat[r])
-                    if item_col:
-                        cols[item_col].append(i)
-                    for n in _NAMES:
-                        cols[n].append(getattr(b, n))
-            if cols[out_names[0]]:
-                yield pd.DataFrame(cols, columns=out_names)
+                beans = getattr(msg, BATCH_FIELD[0])
+                values.extend(map(fields, beans))
+                owners.extend([r] * len(beans))
+                items.extend(range(len(beans)))
+            if not values:
+                continue
+            out = pd.DataFrame.from_records(values, columns=_NAMES)
+            front = {c: pdf[c].to_numpy()[owners] for c in keep}
+            if item_col:
+                front[item_col] = items
+            if front:
+                out = pd.concat([pd.DataFrame(front), out], axis=1)
+            yield out[out_names]
 
     return df.select(*keep, payload_col).mapInPandas(decode, out_schema)
 
@@ -142,16 +151,14 @@ def encode_log_batches(df: DataFrame, rows_per_batch: int = 100, out_col: str =
         beans_cls, _ = message_classes()
         for pdf in batches:
             out = []
-            records = pdf[present].to_dict("records")
+            # proto3 has no nulls: a null field is simply left unset
+            records = [{k: v for k, v in rec.items() if v is not None and v == v}
+                       for rec in pdf[present].to_dict("records")]
             for start in range(0, len(records), rows_per_batch):
                 msg = beans_cls()
                 items = getattr(msg, BATCH_FIELD[0])
                 for rec in records[start:start + rows_per_batch]:
-                    b = items.add()
-                    for n in present:
-                        v = rec[n]
-                        if v is not None and not (isinstance(v, float) and pd.isna(v)):
-                            setattr(b, n, v)
+                    items.add(**rec)
                 out.append(msg.SerializeToString())
             if out:
                 yield pd.DataFrame({out_col: out})
