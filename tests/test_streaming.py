@@ -143,3 +143,20 @@ def test_job_args():
     k = source_options(opts)
     assert k["subscribe"] == "a,b" and k["startingOffsets"] == "earliest"
     assert k["kafka.bootstrap.servers"] == "h:9092" and "kafka.restart_count" not in k
+
+
+def test_cli_scoreboard_on_files(spark, workdir):
+    from driftlog.streaming.cli import main
+    lines = derived.csv_lines(spark, SF_SMALL)
+    src = _stream_dir(workdir)
+    _split_files(lines, workdir, "seq", 2)
+    dict_path = os.path.join(workdir, "dict")
+    derived.dictionary(spark, SF_SMALL).write.parquet(dict_path)
+    out = os.path.join(workdir, "out")
+    rc = main(["scoreboard", "--restart_count", "0", "--source", "files", "--input", src,
+               "--dictionary", dict_path, "--output", out, "--once", "true",
+               "--checkpoint", os.path.join(workdir, "ck")], spark=spark)
+    assert rc == 0
+    names = dictionary.latest_names(derived.dictionary(spark, SF_SMALL))
+    got = {tuple(r) for r in board_table(spark, os.path.join(out, "changes")).collect()}
+    assert got == {tuple(r) for r in scoreboard_from_lines(lines, names).collect()}
