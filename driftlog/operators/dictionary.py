@@ -58,6 +58,9 @@ def lookup_event_names(facts: DataFrame, names: DataFrame, fact_key: str = "type
                        already_materialized: bool = False) -> DataFrame:
     """Add ``out_col`` to every fact by id; ``names`` must hold one row per id.
 
+    On a streaming ``facts`` the dictionary is size-checked once and kept
+    lazy, so a JDBC-backed dictionary is re-read by every micro-batch.
+
     ``on_missing``: ``"null"`` keeps the fact with a null name, ``"drop"``
     removes it, ``"error"`` fails the task (the reference's null dereference).
     """

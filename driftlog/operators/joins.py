@@ -24,11 +24,16 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def sized_dimension(dim: DataFrame, max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                    already_materialized: bool = False) -> DataFrame:
-    """Return ``dim`` ready for joining: broadcast-hinted only if provably small."""
+                    already_materialized: bool = False, materialize_first: bool = True) -> DataFrame:
+    """Return ``dim`` ready for joining: broadcast-hinted only if provably small.
+
+    ``materialize_first=False`` counts the dimension as it is and keeps it
+    lazy -- for stream-static joins, where the static side must be re-read
+    by every micro-batch (a JDBC dictionary) rather than frozen.
+    """
     if max_broadcast_rows is None:
         return dim
-    if not already_materialized:
+    if materialize_first and not already_materialized:
         dim = materialize(dim)
     n = dim.count()
     return F.broadcast(dim) if n <= max_broadcast_rows else dim
@@ -36,6 +41,9 @@ def sized_dimension(dim: DataFrame, max_broadcast_rows: int | None = DEFAULT_MAX
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                already_materialized: bool = False) -> DataFrame:
+                already_materialized: bool = False, materialize_first: bool = True) -> DataFrame:
     """Many-to-one join of facts with a dimension (dimension keys must be unique)."""
-    return facts.join(sized_dimension(dim, max_broadcast_rows, already_materialized), on, how)
+    if facts.isStreaming:
+        materialize_first = False
+    return facts.join(sized_dimension(dim, max_broadcast_rows, already_materialized, materialize_first),
+                      on, how)

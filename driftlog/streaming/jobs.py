@@ -53,11 +53,21 @@ def enrich_batch(batch: DataFrame, place_table: DataFrame, names: DataFrame,
     return named, grown
 
 
+def console_sink(rows: int = 20) -> Callable[[DataFrame, int], None]:
+    """Print each micro-batch's rows (the print sink)."""
+    def show(df: DataFrame, batch_id: int) -> None:
+        print(f"-- batch {batch_id}")
+        df.show(rows, truncate=False)
+    return show
+
+
 def enrich_stream(payloads: DataFrame, load_places: Loader, load_dictionary: Loader,
-                  output: str, checkpoint: str, resolver: places.Resolver | None = None,
+                  output: str | None, checkpoint: str, resolver: places.Resolver | None = None,
                   place_output: str | None = None, trigger: dict | None = None,
-                  on_corrupt: str = "error", name: str | None = None) -> StreamingQuery:
-    """P1: ``payloads`` has ``seq`` and binary ``payload``; results go to ``output/batch_id=N``.
+                  on_corrupt: str = "error", name: str | None = None,
+                  sink: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """P1: ``payloads`` has ``seq`` and binary ``payload``; results go to ``output/batch_id=N``
+    (or to ``sink(rows, batch_id)``, e.g. ``console_sink()``).
 
     With a ``resolver``, unknown cells are resolved once per micro-batch and
     the grown dictionary is written to ``place_output/batch_id=N`` (the
@@ -72,7 +82,10 @@ def enrich_stream(payloads: DataFrame, load_places: Loader, load_dictionary: Loa
         b = batch
         names = dictionary.latest_names(load_dictionary())
         out, grown = enrich_batch(b, load_places(), names, resolver)
-        out.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        if sink is not None:
+            sink(out, batch_id)
+        else:
+            out.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
         if grown is not None and place_output:
             grown.write.mode("overwrite").parquet(f"{place_output}/batch_id={batch_id}")
 
@@ -96,8 +109,8 @@ def scoreboard_stream(lines: DataFrame, names: DataFrame, changes: str, checkpoi
     (progress hooks, failure drills).
     """
     rows = decode.parse_csv_events(lines)
-    named = dictionary.lookup_event_names(rows, names, on_missing=on_missing,
-                                          max_broadcast_rows=None)
+    # Size-checked once at start; the broadcast is rebuilt for every micro-batch.
+    named = dictionary.lookup_event_names(rows, names, on_missing=on_missing)
     keyed = named.select("seq", "uid", "event_name", F.col("event_type_name").alias("event_type"),
                          date_part("time").alias("dt"))
     summary = metrics.key_summary(keyed)

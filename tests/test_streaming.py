@@ -160,3 +160,31 @@ def test_cli_scoreboard_on_files(spark, workdir):
     names = dictionary.latest_names(derived.dictionary(spark, SF_SMALL))
     got = {tuple(r) for r in board_table(spark, os.path.join(out, "changes")).collect()}
     assert got == {tuple(r) for r in scoreboard_from_lines(lines, names).collect()}
+
+
+def test_per_row_running_count_stream(spark, workdir):
+    from driftlog.operators.decode import parse_csv_events
+    from driftlog.operators.metrics import running_count
+    from driftlog.streaming.stateful import running_count_rows
+    lg = derived.log(spark, SF_SMALL).select("seq", "uid", "event_name", "event_type", "dt",
+                                             F.concat_ws(",", "uid", "event_name", "time", "event_type",
+                                                         "province").alias("line"))
+    src = _stream_dir(workdir)
+    _split_files(lg.select("seq", "line"), workdir, "seq", 3)
+    stream = spark.readStream.schema("seq long, line string").option("maxFilesPerTrigger", 1).parquet(src)
+    rows = parse_csv_events(stream).select("seq", "uid", "event_name", F.col("type_id").alias("event_type"),
+                                           F.substring("time", 1, 10).alias("dt"))
+    out = os.path.join(workdir, "rows")
+    q = (running_count_rows(rows).writeStream.outputMode("append").format("parquet")
+         .option("path", out).option("checkpointLocation", os.path.join(workdir, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(out).select("seq", "first_dt", "cnt").collect()}
+    want = {tuple(r) for r in running_count(lg).select("seq", "first_dt", "cnt").collect()}
+    assert got == want and len(got) == lg.count()
+
+
+def test_console_sink(spark, capsys):
+    from driftlog.streaming.jobs import console_sink
+    console_sink(2)(spark.range(3), 7)
+    assert "-- batch 7" in capsys.readouterr().out
