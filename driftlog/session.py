@@ -28,6 +28,27 @@ BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, executor_cores: int, executors: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle and split sizing for a given input volume and cluster.
+
+    Starts with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the input (never fewer than twice the
+    cores), and lets AQE coalesce small ones and split skewed ones at run time.
+    Example: 100 TB on 1000 executors x 8 cores -> about 373,000 shuffle partitions.
+    """
+    cores = max(1, executor_cores * executors)
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def build_session(app: str = "driftlog", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -52,13 +73,19 @@ def shared_root(spark: SparkSession) -> str:
 
     Sets a checkpoint folder only where none is configured (local mode / tests).
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        sc = None
+    if sc is not None:
+        root = root or sc.getCheckpointDir()
+        if not root:
+            root = tempfile.mkdtemp(prefix="driftlog-ckpt-")
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
     if not root:
-        root = tempfile.mkdtemp(prefix="driftlog-ckpt-")
-        sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return root.rstrip("/")
 
 

@@ -35,3 +35,11 @@ def test_kv_last_write_wins(spark):
     w = spark.createDataFrame([("k", "f", "1", 0), ("k", "f", "2", 5), ("k", "g", "9", 1), ("k", "f", "3", 2)],
                               "board_key string, event_type string, value string, seq long")
     assert {(r.event_type, r.value) for r in kv_table(w).collect()} == {("f", "2"), ("g", "9")}
+
+
+def test_scale_conf():
+    from driftlog.session import scale_conf
+    c = scale_conf(100 * 10**12, executor_cores=8, executors=1000)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 16000
+    assert int(c["spark.sql.shuffle.partitions"]) * 256 * 1024 * 1024 >= 100 * 10**12
+    assert scale_conf(10, 4, 2)["spark.sql.shuffle.partitions"] == "16"
