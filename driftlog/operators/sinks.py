@@ -29,16 +29,20 @@ def with_archive_bucket(df: DataFrame, clock: Column | str | None = None,
 
 
 def write_archive(df: DataFrame, path: str, line_col: str = "line", bucket_col: str = "bucket",
-                  order_col: str | None = None, partitions: int | None = None,
-                  max_records_per_file: int | None = None, avg_line_bytes: int = 256,
-                  mode: str = "append") -> None:
+                  order_col: str | None = None, max_records_per_file: int | None = None,
+                  avg_line_bytes: int = 256, mode: str = "append",
+                  partitions: int | None = None) -> None:
     """Write text lines into ``path/bucket=<hour>/`` folders.
 
-    With ``order_col`` the rows are first range-partitioned on
-    ``(bucket, order_col)``: every task then holds a contiguous slice and
-    writes one file per hour it touches, so the folder tree gets about
-    ``partitions + hours`` files instead of ``tasks x hours`` small ones, and
-    a busy hour is still split over several tasks by the order column.
+    With ``order_col`` (a dense numeric arrival order such as an offset) the
+    rows are first hash-partitioned on ``(bucket, order div rows_per_file)``:
+    each chunk of consecutive rows of one hour lands in one task, so the tree
+    gets about one file per chunk instead of one per (task, hour), a busy
+    hour is still spread over as many tasks as it has chunks, and -- unlike
+    a range partitioning -- no sampling pass over the input is needed.  The
+    writer count is fixed (``partitions``, default the shuffle partitions,
+    see ``session.scale_conf``) so small archives are not funnelled into one
+    task by partition coalescing.
     Without ``order_col`` each task writes its own rows as they are (the
     right choice for one micro-batch, which spans one or two hours).
     Files roll at ``max_records_per_file`` rows, by default sized so a file
@@ -48,8 +52,9 @@ def write_archive(df: DataFrame, path: str, line_col: str = "line", bucket_col:
     out = df.select(F.col(line_col).alias("value"), F.col(bucket_col).alias("bucket"),
                     *([F.col(order_col).alias("_order")] if order_col else []))
     if order_col:
+        chunk = F.floor(F.col("_order") / F.lit(rows)).cast("long")
         n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, "bucket", "_order").drop("_order")
+        out = out.repartition(n, "bucket", chunk).drop("_order")
     out.write.mode(mode).option("maxRecordsPerFile", rows).partitionBy("bucket").text(path)
 
 

@@ -128,19 +128,48 @@ def scoreboard_stream(lines: DataFrame, names: DataFrame, changes: str, checkpoi
     return _start(writer, checkpoint, trigger, name)
 
 
-def board_table(spark, changes: str) -> DataFrame:
-    """Current scoreboard from the change log: per cell, the value written last."""
+def board_table(spark, changes: str, snapshot: str | None = None) -> DataFrame:
+    """Current scoreboard from the change log: per cell, the value written last.
+
+    With a ``snapshot`` from ``compact_changes`` only the batches after it are
+    read from the log.
+    """
     log = spark.read.parquet(changes)
+    if snapshot:
+        snap = spark.read.parquet(snapshot)
+        upto = snap.agg(F.max("upto_batch")).first()[0]
+        log = (log.where(F.col("batch_id") > F.lit(upto)).drop("batch_id")
+               .unionByName(snap.drop("upto_batch")))
     return sinks.kv_table(log, order="last_seq")
 
 
+def compact_changes(spark, changes: str, snapshot: str) -> None:
+    """Fold the change log into one row per cell (with its last seq) at ``snapshot``.
+
+    Run on a schedule; ``board_table(changes, snapshot)`` then reads the
+    snapshot plus the batches written after it.
+    """
+    log = spark.read.parquet(changes)
+    upto = log.agg(F.max("batch_id")).first()[0]
+    table = (log.where(F.col("batch_id") <= F.lit(upto))
+             .groupBy("board_key", "event_type")
+             .agg(F.max_by("value", "last_seq").alias("value"), F.max("last_seq").alias("last_seq")))
+    table.withColumn("upto_batch", F.lit(upto)).write.mode("overwrite").parquet(snapshot)
+
+
 # --------------------------------------------------------------------------- P3
 
 def split_archive_batch(batch: DataFrame, place_table: DataFrame, batch_id: int, routes_out: str,
                         archive_out: str, clock: str | None = None,
-                        kafka_opts: dict | None = None) -> None:
+                        kafka_opts: dict | None = None, resolver: places.Resolver | None = None,
+                        place_output: str | None = None) -> None:
     """Enrich one batch, send side routes, archive the main stream by hour."""
     geo = with_geohash(batch, "wd", "jd")
+    if resolver is not None:
+        place_table = places.fill_place_cache(geo, place_table, resolver, seq="seq", lat="wd", lon="jd")
+        if place_output:
+            place_table.write.mode("overwrite").parquet(f"{place_output}/batch_id={batch_id}")
+            place_table = batch.sparkSession.read.parquet(f"{place_output}/batch_id={batch_id}")
     enriched = places.enrich_places(geo.drop("area"), place_table).withColumnRenamed("district", "area")
     coded = decode.encode_json_events(enriched, out_col="json", keep=("seq", "event_type") +
                                       (("ts",) if clock else ()))
@@ -163,7 +192,9 @@ def split_archive_batch(batch: DataFrame, place_table: DataFrame, batch_id: int,
 
 def split_archive_stream(lines: DataFrame, load_places: Loader, routes_out: str, archive_out: str,
                          checkpoint: str, clock: str | None = None, kafka_opts: dict | None = None,
-                         trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+                         trigger: dict | None = None, name: str | None = None,
+                         resolver: places.Resolver | None = None,
+                         place_output: str | None = None) -> StreamingQuery:
     """P3: JSON ``lines`` (with ``seq``) -> side routes + ``archive_out/bucket=H/batch=N``.
 
     ``clock=None`` files rows by processing time (the reference); pass a
@@ -177,6 +208,7 @@ def split_archive_stream(lines: DataFrame, load_places: Loader, routes_out: str,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         split_archive_batch(batch, load_places(), batch_id, routes_out, archive_out,
-                            clock="ts" if clock else None, kafka_opts=kafka_opts)
+                            clock="ts" if clock else None, kafka_opts=kafka_opts,
+                            resolver=resolver, place_output=place_output)
 
     return _start(parsed.writeStream.foreachBatch(run), checkpoint, trigger, name)

@@ -49,6 +49,10 @@ def test_scoreboard_stream_equals_batch(spark, workdir):
     want = {tuple(r) for r in scoreboard_from_lines(lines, names).collect()}
     assert got == want and len(got) > 0
     assert len([d for d in os.listdir(changes) if d.startswith("batch_id=")]) == 5
+    from driftlog.streaming.jobs import compact_changes
+    snap = os.path.join(workdir, "snapshot")
+    compact_changes(spark, changes, snap)
+    assert {tuple(r) for r in board_table(spark, changes, snap).collect()} == want
 
 
 def test_scoreboard_restart_is_idempotent(spark, workdir):
