@@ -157,6 +157,30 @@ def compact_changes(spark, changes: str, snapshot: str) -> None:
     table.withColumn("upto_batch", F.lit(upto)).write.mode("overwrite").parquet(snapshot)
 
 
+def active_users_stream(rows: DataFrame, changes: str, checkpoint: str,
+                        keys: tuple[str, ...] = ("event_name", "dt", "event_type"), user: str = "uid",
+                        trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Distinct users per activity, day and type on a stream (A5).
+
+    Exact ``count(distinct)`` is not supported on streams; the same number is
+    ``dropDuplicates(keys + user)`` followed by a count per key (both states
+    in the checkpoint).  Each micro-batch writes the updated counts to
+    ``changes/batch_id=N``; ``uv_table`` reads the latest count per key.
+    """
+    first_seen = rows.select(*keys, user).dropDuplicates([*keys, user])
+    counts = first_seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("uv"))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_changes(batch, changes, batch_id)
+
+    return _start(counts.writeStream.outputMode("update").foreachBatch(run), checkpoint, trigger, name)
+
+
+def uv_table(spark, changes: str, keys: tuple[str, ...] = ("event_name", "dt", "event_type")) -> DataFrame:
+    """Latest distinct-user count per key (counts only grow, so the max is the latest)."""
+    return spark.read.parquet(changes).groupBy(*keys).agg(F.max("uv").alias("uv"))
+
+
 # --------------------------------------------------------------------------- P3
 
 def split_archive_batch(batch: DataFrame, place_table: DataFrame, batch_id: int, routes_out: str,

@@ -192,3 +192,19 @@ def test_console_sink(spark, capsys):
     from driftlog.streaming.jobs import console_sink
     console_sink(2)(spark.range(3), 7)
     assert "-- batch 7" in capsys.readouterr().out
+
+
+def test_active_users_stream_equals_batch(spark, workdir):
+    from driftlog.operators.metrics import active_users
+    from driftlog.streaming.jobs import active_users_stream, uv_table
+    lg = derived.log(spark, SF_SMALL).select("seq", "uid", "event_name", "event_type", "dt")
+    src = _stream_dir(workdir)
+    _split_files(lg, workdir, "seq", 3)
+    stream = spark.readStream.schema("seq long, uid string, event_name string, event_type string, dt string") \
+        .option("maxFilesPerTrigger", 1).parquet(src)
+    changes = os.path.join(workdir, "uv")
+    active_users_stream(stream, changes, os.path.join(workdir, "ck"), trigger={"availableNow": True}) \
+        .awaitTermination()
+    got = {tuple(r) for r in uv_table(spark, changes).collect()}
+    want = {tuple(r) for r in active_users(lg).collect()}
+    assert got == want and len(got) > 0
