@@ -128,6 +128,35 @@ def scoreboard_stream(lines: DataFrame, names: DataFrame, changes: str, checkpoi
     return _start(writer, checkpoint, trigger, name)
 
 
+def scoreboard_rows_stream(lines: DataFrame, names: DataFrame, changes: str, checkpoint: str,
+                           trigger: dict | None = None, on_missing: str = "null",
+                           name: str | None = None) -> StreamingQuery:
+    """P2 with per-row running counts (first date by arrival, for unkeyed topics).
+
+    Every row's running count is computed with per-key state
+    (``stateful.running_count_rows``) and written into the cell of its key's
+    first-seen date; per micro-batch the row with the greatest seq of each
+    cell is the last writer.  Unlike the aggregation form this does not rely
+    on each key's rows arriving in seq order across micro-batches.
+    """
+    from driftlog.streaming.stateful import running_count_rows
+
+    rows = decode.parse_csv_events(lines)
+    named = dictionary.lookup_event_names(rows, names, on_missing=on_missing)
+    keyed = named.select("seq", "uid", "event_name", F.col("event_type_name").alias("event_type"),
+                         date_part("time").alias("dt"))
+    counted = running_count_rows(keyed)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        cells = (batch.groupBy("event_name", "first_dt", "event_type")
+                 .agg(F.max_by("cnt", "seq").alias("cnt"), F.max("seq").alias("last_seq")))
+        out = cells.select(F.concat_ws("|", "event_name", "first_dt").alias("board_key"), "event_type",
+                           F.col("cnt").cast("string").alias("value"), "last_seq")
+        sinks.write_changes(out, changes, batch_id)
+
+    return _start(counted.writeStream.outputMode("append").foreachBatch(run), checkpoint, trigger, name)
+
+
 def board_table(spark, changes: str, snapshot: str | None = None) -> DataFrame:
     """Current scoreboard from the change log: per cell, the value written last.
 

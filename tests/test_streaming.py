@@ -208,3 +208,18 @@ def test_active_users_stream_equals_batch(spark, workdir):
     got = {tuple(r) for r in uv_table(spark, changes).collect()}
     want = {tuple(r) for r in active_users(lg).collect()}
     assert got == want and len(got) > 0
+
+
+def test_scoreboard_rows_stream_equals_batch(spark, workdir):
+    from driftlog.streaming.jobs import scoreboard_rows_stream
+    lines = derived.csv_lines(spark, SF_SMALL)
+    names = dictionary.latest_names(derived.dictionary(spark, SF_SMALL))
+    src = _stream_dir(workdir)
+    _split_files(lines, workdir, "seq", 3)
+    stream = spark.readStream.schema("seq long, line string").option("maxFilesPerTrigger", 1).parquet(src)
+    changes = os.path.join(workdir, "changes")
+    scoreboard_rows_stream(stream, names, changes, os.path.join(workdir, "ck"),
+                           trigger={"availableNow": True}).awaitTermination()
+    got = {tuple(r) for r in board_table(spark, changes).collect()}
+    want = {tuple(r) for r in scoreboard_from_lines(lines, names).collect()}
+    assert got == want and len(got) > 0
