@@ -34,6 +34,12 @@ def running_count(df: DataFrame, keys: tuple[str, ...] = USER_KEY, seq: str = "s
     aggregated table, then number rows inside each (key, block) -- a window
     whose partition holds at most ``seq_block`` rows however hot the key is.
     """
+    from pyspark.sql.types import NumericType
+
+    if not isinstance(df.schema[seq].dataType, NumericType):
+        raise TypeError(f"running_count needs a numeric order column; {seq!r} is "
+                        f"{df.schema[seq].dataType.simpleString()} (for Kafka records use the offset "
+                        "of a single partition or a numeric arrival id)")
     k = list(keys)
     blocked = df.withColumn("_blk", F.floor(F.col(seq) / F.lit(seq_block)).cast("long"))
     aggs = [F.count(F.lit(1)).alias("_n")]

@@ -76,3 +76,33 @@ def test_json_round_trip(spark):
                                " province string, city string, area string")
     back = parse_json_events(encode_json_events(df).withColumnRenamed("json", "line"))
     assert back.drop("seq").collect() == df.drop("seq").collect()
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+field = st.text(alphabet=st.characters(blacklist_characters=",\n\r", min_codepoint=32, max_codepoint=0x2FFF),
+                max_size=6)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(field, field, field, field, field.filter(lambda s: s != "")), max_size=30))
+def test_csv_round_trip(spark, rows):
+    lines = [(i, ",".join(r)) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(lines, "seq long, line string")
+    got = {r.seq: (r.uid, r.event_name, r.time, r.type_id, r.province) for r in parse_csv_events(df).collect()}
+    assert got == {i: r for i, r in enumerate(rows)}
+
+
+text = st.one_of(st.none(), st.text(max_size=8))
+num = st.floats(allow_nan=False, allow_infinity=False, width=64)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(text, text, text, num, num, text, text, text), max_size=30))
+def test_json_round_trip_property(spark, rows):
+    data = [(i, *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(data, "seq long, uid string, time string, event_type string, jd double, wd double,"
+                                     " province string, city string, area string")
+    back = parse_json_events(encode_json_events(df).withColumnRenamed("json", "line"))
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
