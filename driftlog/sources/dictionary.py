@@ -64,17 +64,60 @@ class DictionaryPoller:
             with open(state_path) as f:
                 self.bound = json.load(f)["bound"]
 
-    def poll(self) -> DataFrame:
-        """Rows newer than the bound; advances the bound to their max ``last_update``."""
+    def poll(self, commit: bool = True) -> DataFrame:
+        """Rows newer than the bound; advances the bound to their max ``last_update``.
+
+        With ``commit=False`` the new bound is only proposed (``self.pending``)
+        and stored by ``commit()`` once the rows have been safely written.
+        """
         rows = incremental_poll(self.load(), self.bound, inclusive=self.inclusive)
         # A single scalar comes back to the driver: the new high-water mark.
         top = rows.agg(F.max("last_update").alias("m")).first()["m"]
-        if top is not None and top > self.bound:
-            self.bound = top
-            if self.state_path:
-                os.makedirs(os.path.dirname(self.state_path) or ".", exist_ok=True)
-                tmp = self.state_path + ".tmp"
-                with open(tmp, "w") as f:
-                    json.dump({"bound": self.bound}, f)
-                os.replace(tmp, self.state_path)
+        self.pending = top if top is not None and top > self.bound else None
+        if commit:
+            self.commit()
         return rows
+
+    def commit(self) -> None:
+        if getattr(self, "pending", None) is None:
+            return
+        self.bound, self.pending = self.pending, None
+        if self.state_path:
+            os.makedirs(os.path.dirname(self.state_path) or ".", exist_ok=True)
+            tmp = self.state_path + ".tmp"
+            with open(tmp, "w") as f:
+                json.dump({"bound": self.bound}, f)
+            os.replace(tmp, self.state_path)
+
+
+class IncrementalNames:
+    """Resolved event dictionary kept up to date by incremental polls.
+
+    Each ``refresh(version)`` polls only the rows past the bound (the filter
+    reaches the database), merges them with the stored table -- newest
+    ``last_update`` per id wins -- writes the merged table as
+    ``store/version=<version>`` and only then commits the bound, so a failure
+    between the two re-polls the same rows instead of losing them.  Use it
+    inside ``foreachBatch`` with the micro-batch id as version.
+    """
+
+    def __init__(self, spark: SparkSession, poller: DictionaryPoller, store: str):
+        self.spark, self.poller, self.store = spark, poller, store.rstrip("/")
+        self.current: str | None = None
+
+    def refresh(self, version: int) -> DataFrame:
+        from driftlog.operators.dictionary import latest_names
+
+        new = self.poller.poll(commit=False).select("event_id", "event_name", "last_update")
+        if self.poller.pending is None and self.current is not None:
+            return self.spark.read.parquet(self.current)
+        merged = new
+        if self.current is not None:
+            merged = self.spark.read.parquet(self.current).unionByName(new)
+        latest = merged.groupBy("event_id").agg(F.max_by("event_name", "last_update").alias("event_name"),
+                                                F.max("last_update").alias("last_update"))
+        path = f"{self.store}/version={version}"
+        latest.write.mode("overwrite").parquet(path)
+        self.current = path
+        self.poller.commit()
+        return self.spark.read.parquet(path)

@@ -65,10 +65,15 @@ def enrich_stream(payloads: DataFrame, load_places: Loader, load_dictionary: Loa
                   output: str | None, checkpoint: str, resolver: places.Resolver | None = None,
                   place_output: str | None = None, trigger: dict | None = None,
                   on_corrupt: str = "error", name: str | None = None,
-                  sink: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                  sink: Callable[[DataFrame, int], None] | None = None,
+                  incremental_names=None) -> StreamingQuery:
     """P1: ``payloads`` has ``seq`` and binary ``payload``; results go to ``output/batch_id=N``
     (or to ``sink(rows, batch_id)``, e.g. ``console_sink()``).
 
+    The dictionary is re-read for every micro-batch; with
+    ``incremental_names`` (a ``sources.dictionary.IncrementalNames``) only the
+    rows changed since the last poll are read and merged into a stored table.
+
     With a ``resolver``, unknown cells are resolved once per micro-batch and
     the grown dictionary is written to ``place_output/batch_id=N`` (the
     place-table loader should read that folder too).
@@ -80,7 +85,10 @@ def enrich_stream(payloads: DataFrame, load_places: Loader, load_dictionary: Loa
 
     def run(batch: DataFrame, batch_id: int) -> None:
         b = batch
-        names = dictionary.latest_names(load_dictionary())
+        if incremental_names is not None:
+            names = incremental_names.refresh(batch_id).select("event_id", "event_name")
+        else:
+            names = dictionary.latest_names(load_dictionary())
         out, grown = enrich_batch(b, load_places(), names, resolver)
         if sink is not None:
             sink(out, batch_id)

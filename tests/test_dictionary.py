@@ -70,3 +70,16 @@ def test_lookup_missing_policies(spark):
 def test_jdbc_options_carry_no_defaults():
     o = jdbc_options("jdbc:mysql://db/demo", "tb_event_name")
     assert o["dbtable"] == "tb_event_name" and "user" not in o and "password" not in o
+
+
+def test_incremental_names_merge_polls(spark, workdir):
+    from driftlog.sources.dictionary import IncrementalNames
+    rows = list(DICT)
+    inc = IncrementalNames(spark, DictionaryPoller(lambda: _dict(spark, rows)), os.path.join(workdir, "names"))
+    v0 = {r.event_id: r.event_name for r in inc.refresh(0).collect()}
+    assert v0 == {"1": "view_b", "2": "click_a"}
+    rows += [("2", "click_b", "2024-01-05"), ("3", "buy", "2024-01-06")]
+    v1 = {r.event_id: r.event_name for r in inc.refresh(1).collect()}
+    assert v1 == {"1": "view_b", "2": "click_b", "3": "buy"}
+    assert inc.poller.bound == "2024-01-06"
+    assert {r.event_id: r.event_name for r in inc.refresh(2).collect()} == v1

@@ -79,7 +79,8 @@ def test_scoreboard_restart_is_idempotent(spark, workdir):
     assert got == want
 
 
-def test_enrich_stream_equals_batch(spark, workdir):
+@pytest.mark.parametrize("incremental", [False, True])
+def test_enrich_stream_equals_batch(spark, workdir, incremental):
     lg = derived.log_geo(spark, SF_SMALL)
     beans = lg.select("seq", "uid", F.col("type_id").alias("event_id"), F.col("lon").alias("longitude"),
                       F.col("lat").alias("latitude"))
@@ -96,8 +97,14 @@ def test_enrich_stream_equals_batch(spark, workdir):
     derived.dictionary(spark, SF_SMALL).write.parquet(dict_path)
     out = os.path.join(workdir, "out")
     stream = spark.readStream.schema("payload binary, seq long").option("maxFilesPerTrigger", 2).parquet(src)
+    inc = None
+    if incremental:
+        from driftlog.sources.dictionary import DictionaryPoller, IncrementalNames
+        inc = IncrementalNames(spark, DictionaryPoller(lambda: spark.read.parquet(dict_path),
+                                                       state_path=os.path.join(workdir, "ck-dict", "bound.json")),
+                               os.path.join(workdir, "names"))
     q = enrich_stream(stream, lambda: spark.read.parquet(place_path), lambda: spark.read.parquet(dict_path),
-                      out, os.path.join(workdir, "ck"), trigger={"availableNow": True})
+                      out, os.path.join(workdir, "ck"), trigger={"availableNow": True}, incremental_names=inc)
     _run(q)
     cols = ["uid", "event_id", "event_name", "province", "city", "district", "longitude", "latitude"]
     got = sorted((tuple(r) for r in spark.read.parquet(out).select(*cols).collect()), key=repr)
