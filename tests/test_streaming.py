@@ -230,3 +230,32 @@ def test_scoreboard_rows_stream_equals_batch(spark, workdir):
     got = {tuple(r) for r in board_table(spark, changes).collect()}
     want = {tuple(r) for r in scoreboard_from_lines(lines, names).collect()}
     assert got == want and len(got) > 0
+
+
+def test_cli_enrich_and_split_archive_on_files(spark, workdir):
+    from driftlog.streaming.cli import main
+    place_path = os.path.join(workdir, "places")
+    derived.places(spark, SF_SMALL).write.parquet(place_path)
+    dict_path = os.path.join(workdir, "dict")
+    derived.dictionary(spark, SF_SMALL).write.parquet(dict_path)
+    # P1 input: protobuf batches
+    lg = derived.log(spark, SF_SMALL)
+    beans = lg.select("uid", F.col("type_id").alias("event_id"), F.col("lon").alias("longitude"),
+                      F.col("lat").alias("latitude"))
+    pin = os.path.join(workdir, "pin")
+    encode_log_batches(beans).withColumn("seq", F.monotonically_increasing_id()).write.parquet(pin)
+    out1 = os.path.join(workdir, "out1")
+    assert main(["enrich", "--restart_count", "0", "--source", "files", "--input", pin, "--places", place_path,
+                 "--dictionary", dict_path, "--output", out1, "--once", "true",
+                 "--checkpoint", os.path.join(workdir, "ck1")], spark=spark) == 0
+    assert spark.read.parquet(os.path.join(out1, "rows")).count() == lg.count()
+    # P3 input: JSON lines
+    jin = os.path.join(workdir, "jin")
+    derived.json_lines(spark, SF_SMALL).write.parquet(jin)
+    out3 = os.path.join(workdir, "out3")
+    assert main(["split-archive", "--restart_count", "0", "--source", "files", "--input", jin,
+                 "--places", place_path, "--output", out3, "--once", "true",
+                 "--checkpoint", os.path.join(workdir, "ck3")], spark=spark) == 0
+    from driftlog.operators.decode import parse_json_events
+    n = parse_json_events(derived.json_lines(spark, SF_SMALL)).count()
+    assert sinks.read_archive(spark, os.path.join(out3, "archive")).count() == n
