@@ -149,6 +149,12 @@ def q_kv_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.kv_table(writes)
 
 
+def q_activity_count_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole activity-count job: CSV lines -> names -> running counts -> scoreboard."""
+    from driftlog.plans.flagship import scoreboard_job
+    return scoreboard_job(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "decode_log_batches": q_decode_log_batches,
     "parse_csv_events": q_parse_csv_events,
@@ -171,4 +177,5 @@ QUERIES: dict[str, Query] = {
     "route_counts": q_route_counts,
     "archive_hourly": q_archive_hourly,
     "kv_latest": q_kv_latest,
+    "activity_count_job": q_activity_count_job,
 }

@@ -159,4 +159,16 @@ UNION ALL SELECT 'main' AS route, COUNT(*) AS n FROM log""",
 FROM events GROUP BY 1""",
     "kv_latest": _with("log") + """SELECT concat(event_name, '|', dt) AS board_key, event_type, arg_max(uid, seq) AS value
 FROM log GROUP BY 1, event_type""",
+    "activity_count_job": _with("csv", "dict") + """, fields AS (
+  SELECT seq, string_split(regexp_replace(line, ',+$', ''), ',') AS f FROM csv),
+parsed AS (
+  SELECT seq, f[1] AS uid, f[2] AS event_name, f[3] AS time, f[4] AS type_id FROM fields WHERE len(f) >= 5),
+names AS (SELECT event_id, arg_max(event_name, last_update) AS type_name FROM dict GROUP BY event_id),
+named AS (SELECT p.seq, p.uid, p.event_name, n.type_name AS event_type, substr(p.time, 1, 10) AS dt
+          FROM parsed p LEFT JOIN names n ON p.type_id = n.event_id),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_name, event_type, uid ORDER BY seq) AS cnt,
+             FIRST_VALUE(dt) OVER (PARTITION BY event_name, event_type, uid ORDER BY seq) AS dt0 FROM named),
+k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_name, dt0, event_type ORDER BY seq DESC) AS rn FROM r)
+SELECT concat(event_name, '|', dt0) AS board_key, event_type, CAST(cnt AS VARCHAR(20)) AS value
+FROM k WHERE rn = 1""",
 }
