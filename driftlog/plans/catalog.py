@@ -155,6 +155,20 @@ def q_activity_count_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoreboard_job(spark, sf_dir)
 
 
+def q_enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole protobuf enrichment job: batches -> rows -> place (cache-aside) -> event name."""
+    from driftlog.streaming.jobs import enrich_batch
+    lg = derived.log(spark, sf_dir)
+    beans = lg.select("seq", "uid", F.col("type_id").alias("event_id"), F.col("lon").alias("longitude"),
+                      F.col("lat").alias("latitude"))
+    payloads = protobuf.encode_log_batches(beans, seq_col="seq")
+    rows = protobuf.decode_log_batches(payloads, keep=("seq",), item_col="item")
+    rows = rows.withColumn("seq", F.struct("seq", "item")).drop("item")
+    names = dictionary.latest_names(derived.dictionary(spark, sf_dir))
+    out, _ = enrich_batch(rows, derived.places(spark, sf_dir), names, _resolver(spark, sf_dir))
+    return out.select("uid", "event_id", "event_name", "province", "city", "district", "longitude", "latitude")
+
+
 QUERIES: dict[str, Query] = {
     "decode_log_batches": q_decode_log_batches,
     "parse_csv_events": q_parse_csv_events,
@@ -178,4 +192,5 @@ QUERIES: dict[str, Query] = {
     "archive_hourly": q_archive_hourly,
     "kv_latest": q_kv_latest,
     "activity_count_job": q_activity_count_job,
+    "enrich_job": q_enrich_job,
 }

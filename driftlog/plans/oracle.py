@@ -171,4 +171,17 @@ r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_name, event_type, uid ORDE
 k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_name, dt0, event_type ORDER BY seq DESC) AS rn FROM r)
 SELECT concat(event_name, '|', dt0) AS board_key, event_type, CAST(cnt AS VARCHAR(20)) AS value
 FROM k WHERE rn = 1""",
+    "enrich_job": _with("log_geo", "places", "dict") + """, miss AS (
+  SELECT l.geohash5, arg_min(lon, seq) AS lon, arg_min(lat, seq) AS lat FROM log_geo l
+  WHERE l.geohash5 NOT IN (SELECT geohash5 FROM places) GROUP BY l.geohash5),
+grown AS (
+  SELECT geohash5, province, city, district FROM places
+  UNION ALL
+  SELECT geohash5, r_name AS province, n_name AS city, 'd_new' AS district
+  FROM miss JOIN nation ON n_nationkey = CAST(floor(lon + lat) AS BIGINT) % 25
+  JOIN region ON r_regionkey = n_regionkey),
+names AS (SELECT event_id, arg_max(event_name, last_update) AS type_name FROM dict GROUP BY event_id)
+SELECT l.uid, l.type_id AS event_id, n.type_name AS event_name, g.province, g.city, g.district,
+       l.lon AS longitude, l.lat AS latitude
+FROM log_geo l LEFT JOIN grown g ON l.geohash5 = g.geohash5 LEFT JOIN names n ON l.type_id = n.event_id""",
 }

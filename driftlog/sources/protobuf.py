@@ -139,11 +139,14 @@ def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt:
     return df.select(*keep, payload_col).mapInPandas(decode, out_schema)
 
 
-def encode_log_batches(df: DataFrame, rows_per_batch: int = 100, out_col: str = "payload") -> DataFrame:
+def encode_log_batches(df: DataFrame, rows_per_batch: int = 100, out_col: str = "payload",
+                       seq_col: str | None = None) -> DataFrame:
     """Rows with the ``LogBean`` columns -> binary ``LogBeans`` batches.
 
     Batches are cut inside each partition (no shuffle); a batch holds at
     most ``rows_per_batch`` rows.  Null strings are left unset (proto3).
+    With ``seq_col`` each batch also carries the ``seq_col`` value of its
+    first row (like a record offset).
     """
     present = [n for n in _NAMES if n in df.columns]
 
@@ -151,6 +154,7 @@ def encode_log_batches(df: DataFrame, rows_per_batch: int = 100, out_col: str =
         beans_cls, _ = message_classes()
         for pdf in batches:
             out = []
+            firsts = pdf[seq_col].iloc[::rows_per_batch].tolist() if seq_col else None
             # proto3 has no nulls: a null field is simply left unset
             records = [{k: v for k, v in rec.items() if v is not None and v == v}
                        for rec in pdf[present].to_dict("records")]
@@ -161,6 +165,9 @@ def encode_log_batches(df: DataFrame, rows_per_batch: int = 100, out_col: str =
                     items.add(**rec)
                 out.append(msg.SerializeToString())
             if out:
-                yield pd.DataFrame({out_col: out})
+                frame = {seq_col: firsts, out_col: out} if seq_col else {out_col: out}
+                yield pd.DataFrame(frame)
 
-    return df.select(*present).mapInPandas(encode, f"{out_col} binary")
+    schema = f"{seq_col} {df.schema[seq_col].dataType.simpleString()}, {out_col} binary" if seq_col \
+        else f"{out_col} binary"
+    return df.select(*([seq_col] if seq_col else []), *present).mapInPandas(encode, schema)
