@@ -169,6 +169,14 @@ def q_enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("uid", "event_id", "event_name", "province", "city", "district", "longitude", "latitude")
 
 
+def q_split_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole JSON routing job: lines -> rows -> place (cache-aside) -> JSON text -> routes."""
+    from driftlog.streaming.jobs import split_batch
+    parsed = decode.parse_json_events(derived.json_lines(spark, sf_dir))
+    coded, _ = split_batch(parsed, derived.places(spark, sf_dir), _resolver(spark, sf_dir))
+    return route.route_events(coded, "event_type").select("seq", "route", "json")
+
+
 QUERIES: dict[str, Query] = {
     "decode_log_batches": q_decode_log_batches,
     "parse_csv_events": q_parse_csv_events,
@@ -193,4 +201,5 @@ QUERIES: dict[str, Query] = {
     "kv_latest": q_kv_latest,
     "activity_count_job": q_activity_count_job,
     "enrich_job": q_enrich_job,
+    "split_job": q_split_job,
 }

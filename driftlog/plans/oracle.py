@@ -50,10 +50,15 @@ def _geohash_sql() -> str:
     return "concat(" + ",\n              ".join(digits) + ")"
 
 
-_LOG_GEO = f"""SELECT seq, uid, event_name, time, dt, event_type, type_id, route_type, province, lon, lat,
+def _geo_select(cols: str, src: str) -> str:
+    """``cols`` of ``src`` plus the geohash5 of its ``lon``/``lat`` columns."""
+    return f"""SELECT {cols},
        {_geohash_sql()} AS geohash5
 FROM (SELECT *, least(8191, greatest(0, CAST(floor((lon + 180e0) * 8192e0 / 360e0) AS BIGINT))) AS x,
-                least(4095, greatest(0, CAST(floor((lat + 90e0) * 4096e0 / 180e0) AS BIGINT))) AS y FROM log) t"""
+                least(4095, greatest(0, CAST(floor((lat + 90e0) * 4096e0 / 180e0) AS BIGINT))) AS y FROM {src}) t"""
+
+
+_LOG_GEO = _geo_select("seq, uid, event_name, time, dt, event_type, type_id, route_type, province, lon, lat", "log")
 
 _CELLS = "SELECT geohash5, MIN(seq) AS first_seq FROM log_geo GROUP BY geohash5"
 
@@ -184,4 +189,28 @@ names AS (SELECT event_id, arg_max(event_name, last_update) AS type_name FROM di
 SELECT l.uid, l.type_id AS event_id, n.type_name AS event_name, g.province, g.city, g.district,
        l.lon AS longitude, l.lat AS latitude
 FROM log_geo l LEFT JOIN grown g ON l.geohash5 = g.geohash5 LEFT JOIN names n ON l.type_id = n.event_id""",
+    "split_job": _with("log_geo", "places") + """, parsed AS (
+  SELECT seq, uid, time, route_type AS event_type, CASE WHEN seq % 17 = 0 THEN 0e0 ELSE lon END AS lon, lat
+  FROM log WHERE seq % 11 <> 0 AND seq % 13 <> 0),
+pgeo AS (
+""" + _geo_select("seq, uid, time, event_type, lon, lat", "parsed") + """),
+miss AS (
+  SELECT geohash5, arg_min(lon, seq) AS lon, arg_min(lat, seq) AS lat FROM pgeo
+  WHERE geohash5 NOT IN (SELECT geohash5 FROM places) GROUP BY geohash5),
+grown AS (
+  SELECT geohash5, province, city, district FROM places
+  UNION ALL
+  SELECT geohash5, r_name AS province, n_name AS city, 'd_new' AS district
+  FROM miss JOIN nation ON n_nationkey = CAST(floor(lon + lat) AS BIGINT) % 25
+  JOIN region ON r_regionkey = n_regionkey),
+coded AS (
+  SELECT p.seq, p.event_type,
+         concat('{"area":"', g.district, '","city":"', g.city, '","eventType":"', p.event_type,
+                '","jd":', CAST(p.lon AS VARCHAR), ',"province":"', g.province, '","time":"', p.time,
+                '","uid":"', p.uid, '","wd":', CAST(p.lat AS VARCHAR), '}') AS json
+  FROM pgeo p LEFT JOIN grown g ON p.geohash5 = g.geohash5)
+SELECT seq, 'main' AS route, json FROM coded
+UNION ALL
+SELECT seq, CASE WHEN starts_with(event_type, 'flow') THEN 'flow' ELSE 'acitiv' END AS route, json FROM coded
+WHERE starts_with(event_type, 'flow') OR starts_with(event_type, 'acitiv')""",
 }

@@ -220,20 +220,32 @@ def uv_table(spark, changes: str, keys: tuple[str, ...] = ("event_name", "dt", "
 
 # --------------------------------------------------------------------------- P3
 
+def split_batch(batch: DataFrame, place_table: DataFrame, resolver: places.Resolver | None = None,
+                keep_ts: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Parsed JSON rows -> (``seq, event_type, json[, ts]`` with places filled in, grown places)."""
+    geo = with_geohash(batch, "wd", "jd")
+    grown = None
+    if resolver is not None:
+        grown = places.fill_place_cache(geo, place_table, resolver, seq="seq", lat="wd", lon="jd")
+        place_table = grown
+    enriched = places.enrich_places(geo.drop("area"), place_table).withColumnRenamed("district", "area")
+    coded = decode.encode_json_events(enriched, out_col="json",
+                                      keep=("seq", "event_type") + (("ts",) if keep_ts else ()))
+    return coded, grown
+
+
 def split_archive_batch(batch: DataFrame, place_table: DataFrame, batch_id: int, routes_out: str,
                         archive_out: str, clock: str | None = None,
                         kafka_opts: dict | None = None, resolver: places.Resolver | None = None,
                         place_output: str | None = None) -> None:
     """Enrich one batch, send side routes, archive the main stream by hour."""
-    geo = with_geohash(batch, "wd", "jd")
-    if resolver is not None:
-        place_table = places.fill_place_cache(geo, place_table, resolver, seq="seq", lat="wd", lon="jd")
-        if place_output:
-            place_table.write.mode("overwrite").parquet(f"{place_output}/batch_id={batch_id}")
-            place_table = batch.sparkSession.read.parquet(f"{place_output}/batch_id={batch_id}")
-    enriched = places.enrich_places(geo.drop("area"), place_table).withColumnRenamed("district", "area")
-    coded = decode.encode_json_events(enriched, out_col="json", keep=("seq", "event_type") +
-                                      (("ts",) if clock else ()))
+    if resolver is not None and place_output:
+        grown = places.fill_place_cache(with_geohash(batch, "wd", "jd"), place_table, resolver,
+                                        seq="seq", lat="wd", lon="jd")
+        grown.write.mode("overwrite").parquet(f"{place_output}/batch_id={batch_id}")
+        place_table = batch.sparkSession.read.parquet(f"{place_output}/batch_id={batch_id}")
+        resolver = None
+    coded, _ = split_batch(batch, place_table, resolver, keep_ts=bool(clock))
     coded = coded.persist()
     try:
         side = route.with_route(coded, "event_type").where(F.col("route").isNotNull())
