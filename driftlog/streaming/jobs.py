@@ -39,15 +39,20 @@ def _start(writer, checkpoint: str, trigger: dict | None, name: str | None) -> S
 # --------------------------------------------------------------------------- P1
 
 def enrich_batch(batch: DataFrame, place_table: DataFrame, names: DataFrame,
-                 resolver: places.Resolver | None = None, on_missing: str = "null"):
-    """One micro-batch of decoded rows -> (enriched rows, grown place table or None)."""
+                 resolver: places.Resolver | None = None, on_missing: str = "null",
+                 places_stored: bool = False):
+    """One micro-batch of decoded rows -> (enriched rows, grown place table or None).
+
+    ``places_stored=True`` says ``place_table`` is read straight from storage,
+    so it is only counted for the broadcast check, not copied again.
+    """
     geo = with_geohash(batch, "latitude", "longitude")
     grown = None
     if resolver is not None:
         grown = places.fill_place_cache(geo, place_table, resolver, seq="seq",
                                         lat="latitude", lon="longitude")
-        place_table = grown
-    enriched = places.enrich_places(geo, place_table)
+        place_table, places_stored = grown, False
+    enriched = places.enrich_places(geo, place_table, already_materialized=places_stored)
     named = dictionary.lookup_event_names(enriched.drop("event_name"), names, fact_key="event_id",
                                           out_col="event_name", on_missing=on_missing)
     return named, grown
@@ -89,7 +94,7 @@ def enrich_stream(payloads: DataFrame, load_places: Loader, load_dictionary: Loa
             names = incremental_names.refresh(batch_id).select("event_id", "event_name")
         else:
             names = dictionary.latest_names(load_dictionary())
-        out, grown = enrich_batch(b, load_places(), names, resolver)
+        out, grown = enrich_batch(b, load_places(), names, resolver, places_stored=True)
         if sink is not None:
             sink(out, batch_id)
         else:
@@ -221,14 +226,15 @@ def uv_table(spark, changes: str, keys: tuple[str, ...] = ("event_name", "dt", "
 # --------------------------------------------------------------------------- P3
 
 def split_batch(batch: DataFrame, place_table: DataFrame, resolver: places.Resolver | None = None,
-                keep_ts: bool = False) -> tuple[DataFrame, DataFrame | None]:
+                keep_ts: bool = False, places_stored: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """Parsed JSON rows -> (``seq, event_type, json[, ts]`` with places filled in, grown places)."""
     geo = with_geohash(batch, "wd", "jd")
     grown = None
     if resolver is not None:
         grown = places.fill_place_cache(geo, place_table, resolver, seq="seq", lat="wd", lon="jd")
-        place_table = grown
-    enriched = places.enrich_places(geo.drop("area"), place_table).withColumnRenamed("district", "area")
+        place_table, places_stored = grown, False
+    enriched = (places.enrich_places(geo.drop("area"), place_table, already_materialized=places_stored)
+                .withColumnRenamed("district", "area"))
     coded = decode.encode_json_events(enriched, out_col="json",
                                       keep=("seq", "event_type") + (("ts",) if keep_ts else ()))
     return coded, grown
@@ -245,7 +251,7 @@ def split_archive_batch(batch: DataFrame, place_table: DataFrame, batch_id: int,
         grown.write.mode("overwrite").parquet(f"{place_output}/batch_id={batch_id}")
         place_table = batch.sparkSession.read.parquet(f"{place_output}/batch_id={batch_id}")
         resolver = None
-    coded, _ = split_batch(batch, place_table, resolver, keep_ts=bool(clock))
+    coded, _ = split_batch(batch, place_table, resolver, keep_ts=bool(clock), places_stored=True)
     coded = coded.persist()
     try:
         side = route.with_route(coded, "event_type").where(F.col("route").isNotNull())
