@@ -57,3 +57,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["board_key", "event_type", "value"]
     assert df.count() > 0
+
+
+DUCK_TO_SPARK = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BLOB": "binary"}
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_query_types_match_oracle(spark, duck, key):
+    df = entry.queries()[key](spark, SF_SMALL)
+    described = duck.execute(f"DESCRIBE {entry.oracle_sql()[key]}").fetchall()
+    oracle_types = {c[0]: DUCK_TO_SPARK.get(c[1], c[1]) for c in described}
+    assert dict(df.dtypes) == oracle_types
