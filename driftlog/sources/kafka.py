@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Job options that are not Kafka client properties.
-_JOB_KEYS = {"topics", "ck_time", "restart_count", "checkpoint", "output", "group.id"}
+_JOB_KEYS = {"topics", "ck_time", "restart_count", "checkpoint", "output", "group.id",
+             "min_partitions", "max_offsets_per_trigger"}
 
 
 def source_options(job_opts: dict[str, str], starting_offsets: str = "earliest",

@@ -9,7 +9,9 @@ Dimensions: ``--places <parquet dir>``; the event dictionary either as
 re-queried every micro-batch) or ``--dictionary <parquet dir>``.
 ``--source files --input <dir>`` reads files instead of Kafka (columns
 ``seq`` and ``line`` or ``payload``); ``--once true`` processes what is
-there and stops.
+there and stops.  ``--max_offsets_per_trigger N`` bounds a micro-batch (and so
+every state group) on Kafka; ``--min_partitions N`` splits Kafka partitions
+into more tasks without a shuffle.
 """
 
 from __future__ import annotations
@@ -45,7 +47,10 @@ def _source(spark: SparkSession, opts: dict[str, str], binary: bool) -> DataFram
         if "maxFilesPerTrigger" in opts:
             reader = reader.option("maxFilesPerTrigger", opts["maxFilesPerTrigger"])
         return reader.parquet(opts["input"])
-    raw = kafka.read_stream(spark, kafka.source_options(opts))
+    raw = kafka.read_stream(spark, kafka.source_options(
+        opts, min_partitions=int(opts["min_partitions"]) if "min_partitions" in opts else None,
+        max_offsets_per_trigger=int(opts["max_offsets_per_trigger"]) if "max_offsets_per_trigger" in opts
+        else None))
     return kafka.value_bytes(raw) if binary else kafka.value_text(raw)
 
 

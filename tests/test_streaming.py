@@ -259,3 +259,13 @@ def test_cli_enrich_and_split_archive_on_files(spark, workdir):
     from driftlog.operators.decode import parse_json_events
     n = parse_json_events(derived.json_lines(spark, SF_SMALL)).count()
     assert sinks.read_archive(spark, os.path.join(out3, "archive")).count() == n
+
+
+def test_kafka_trigger_bounds():
+    from driftlog.sources.kafka import sink_options, source_options
+    opts = {"topics": "logs", "bootstrap.servers": "h:9092", "max_offsets_per_trigger": "1000",
+            "min_partitions": "64", "restart_count": "1"}
+    k = source_options(opts, min_partitions=64, max_offsets_per_trigger=1000)
+    assert k["maxOffsetsPerTrigger"] == "1000" and k["minPartitions"] == "64"
+    assert not any(x.startswith("kafka.max") or x.startswith("kafka.min") for x in k)
+    assert sink_options(opts) == {"kafka.bootstrap.servers": "h:9092"}
