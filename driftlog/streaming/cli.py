@@ -1,7 +1,7 @@
 """Command-line entry for the three streaming jobs.
 
-    spark-submit -m driftlog.streaming.cli <job> --topics t1,t2 --restart_count 3 \\
-        --bootstrap.servers host:9092 --output <dir> [--ck_time 5000] [...]
+    spark-submit --py-files driftlog.zip driftlog/streaming/cli.py <job> \\
+        --topics t1,t2 --restart_count 3 --bootstrap.servers host:9092 --output <dir> [--ck_time 5000] [...]
 
 Jobs: ``enrich`` (P1), ``scoreboard`` (P2), ``split-archive`` (P3).
 Dimensions: ``--places <parquet dir>``; the event dictionary either as
