@@ -57,3 +57,16 @@ def test_page_views_and_summary(spark):
     assert pv == {"a": 2, "b": 2}
     s = {r.uid: (r.cnt, r.first_dt, r.last_seq) for r in key_summary(_log(spark)).collect()}
     assert s == {"a": (2, "2024-01-01", 1), "b": (2, "2024-01-01", 3)}
+
+
+def test_approx_active_users_close_to_exact(spark):
+    rows = [(i, f"u{i % 997}", "a", "view", "2024-01-01") for i in range(20000)]
+    df = spark.createDataFrame(rows, "seq long, uid string, event_name string, event_type string, dt string")
+    exact = active_users(df).first().uv
+    approx = active_users(df, approx=True).first().uv
+    assert exact == 997 and abs(approx - exact) / exact < 0.1
+
+
+def test_public_operator_api():
+    import driftlog.operators as ops
+    assert all(callable(getattr(ops, n)) for n in ops.__all__)
