@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlog.session import shared_root
+from driftlog.session import shared_path, shared_root
 
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
@@ -23,6 +23,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    For facts that are expensive to derive (parsed text, decoded batches) and
+    read twice: later passes scan the columnar copy and prune to the columns
+    they need, instead of parsing the input again.
+    """
+    path = shared_path(df.sparkSession, "stage", name, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def sized_dimension(dim: DataFrame, max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
                     already_materialized: bool = False, materialize_first: bool = True) -> DataFrame:
     """Return ``dim`` ready for joining: broadcast-hinted only if provably small.

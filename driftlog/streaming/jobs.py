@@ -89,7 +89,8 @@ def enrich_stream(payloads: DataFrame, load_places: Loader, load_dictionary: Loa
     ordered = decoded.withColumn("seq", F.struct(F.col("seq").alias("batch"), F.col("item"))).drop("item")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        b = batch
+        # With a resolver the rows are read twice (new cells, then the join).
+        b = batch.persist() if resolver is not None else batch
         if incremental_names is not None:
             names = incremental_names.refresh(batch_id).select("event_id", "event_name")
         else:
@@ -101,6 +102,8 @@ def enrich_stream(payloads: DataFrame, load_places: Loader, load_dictionary: Loa
             out.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
         if grown is not None and place_output:
             grown.write.mode("overwrite").parquet(f"{place_output}/batch_id={batch_id}")
+        if b is not batch:
+            b.unpersist()
 
     return _start(ordered.writeStream.foreachBatch(run), checkpoint, trigger, name)
 
@@ -286,8 +289,14 @@ def split_archive_stream(lines: DataFrame, load_places: Loader, routes_out: str,
         parsed = parsed.withColumnRenamed(clock, "ts")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        split_archive_batch(batch, load_places(), batch_id, routes_out, archive_out,
-                            clock="ts" if clock else None, kafka_opts=kafka_opts,
-                            resolver=resolver, place_output=place_output)
+        # With a resolver the rows are read twice (new cells, then the join).
+        b = batch.persist() if resolver is not None else batch
+        try:
+            split_archive_batch(b, load_places(), batch_id, routes_out, archive_out,
+                                clock="ts" if clock else None, kafka_opts=kafka_opts,
+                                resolver=resolver, place_output=place_output)
+        finally:
+            if b is not batch:
+                b.unpersist()
 
     return _start(parsed.writeStream.foreachBatch(run), checkpoint, trigger, name)
