@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
 from driftlog.llm.simhash_dedup import op8_simhash_dedup
 
 QUERIES = {
+    "op5_quality_ledger": op5_quality_ledger,
     "op8_simhash_dedup": op8_simhash_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_quality_ledger": ORACLE_OP5,
+}
