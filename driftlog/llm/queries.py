@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from driftlog.llm.extendible_sharding import op4_extendible_sharding, oracle_op4
 from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
 from driftlog.llm.simhash_dedup import op8_simhash_dedup
 
 QUERIES = {
+    "op4_extendible_sharding": op4_extendible_sharding,
     "op5_quality_ledger": op5_quality_ledger,
     "op8_simhash_dedup": op8_simhash_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_extendible_sharding": oracle_op4(),
     "op5_quality_ledger": ORACLE_OP5,
 }
