@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from driftlog.llm.extendible_sharding import op4_extendible_sharding, oracle_op4
+from driftlog.llm.packing import op7_kk_packing
 from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
 from driftlog.llm.simhash_dedup import op8_simhash_dedup
 
 QUERIES = {
     "op4_extendible_sharding": op4_extendible_sharding,
     "op5_quality_ledger": op5_quality_ledger,
+    "op7_kk_packing": op7_kk_packing,
     "op8_simhash_dedup": op8_simhash_dedup,
 }
 
