@@ -5,6 +5,7 @@ from __future__ import annotations
 from driftlog.llm.extendible_sharding import op4_extendible_sharding, oracle_op4
 from driftlog.llm.packing import op7_kk_packing
 from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
+from driftlog.llm.repair_ids import op9_repair_ids
 from driftlog.llm.simhash_dedup import op8_simhash_dedup
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_quality_ledger": op5_quality_ledger,
     "op7_kk_packing": op7_kk_packing,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_repair_ids": op9_repair_ids,
 }
 
 ORACLE: dict[str, str] = {
