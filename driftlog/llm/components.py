@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from driftlog.llm.common import staged
 
 MAX_ROUNDS = 60
+#: Small rounds are written by few tasks: one for this many edges.
+EDGES_PER_TASK = 200_000
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -38,16 +40,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     for _ in range(MAX_ROUNDS):
         if not before[0]:
             break
+        tasks = 1 + before[0] // EDGES_PER_TASK
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # larger neighbours of u go to the smallest node u knows
         wide = (now.select(F.col("v").alias("u"), F.col("u").alias("v")).join(least, "u")
                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        wide = staged(wide, "wide")
+        wide = staged(wide.coalesce(tasks), "wide")
         # u and its smaller neighbours go to the smallest of them
         small = wide.groupBy("u").agg(F.min("v").alias("m"))
         near = wide.join(small, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(near.union(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        now = staged(near.union(small.select("u", F.col("m").alias("v"))).distinct().coalesce(tasks), "edges")
         after = _fingerprint(now)
         if after == before:
             break
