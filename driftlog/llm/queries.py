@@ -7,8 +7,10 @@ from driftlog.llm.packing import op7_kk_packing
 from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
 from driftlog.llm.repair_ids import op9_repair_ids
 from driftlog.llm.simhash_dedup import op8_simhash_dedup
+from driftlog.llm.warc_normalise import ORACLE_OP3, op3_warc_normalise
 
 QUERIES = {
+    "op3_warc_normalise": op3_warc_normalise,
     "op4_extendible_sharding": op4_extendible_sharding,
     "op5_quality_ledger": op5_quality_ledger,
     "op7_kk_packing": op7_kk_packing,
@@ -17,6 +19,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_warc_normalise": ORACLE_OP3,
     "op4_extendible_sharding": oracle_op4(),
     "op5_quality_ledger": ORACLE_OP5,
 }
