@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from driftlog.llm.decontaminate import ORACLE_OP6, op6_benchmark_decontamination
 from driftlog.llm.extendible_sharding import op4_extendible_sharding, oracle_op4
 from driftlog.llm.packing import op7_kk_packing
 from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_warc_normalise": op3_warc_normalise,
     "op4_extendible_sharding": op4_extendible_sharding,
     "op5_quality_ledger": op5_quality_ledger,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_kk_packing": op7_kk_packing,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_repair_ids": op9_repair_ids,
@@ -22,4 +24,5 @@ ORACLE: dict[str, str] = {
     "op3_warc_normalise": ORACLE_OP3,
     "op4_extendible_sharding": oracle_op4(),
     "op5_quality_ledger": ORACLE_OP5,
+    "op6_benchmark_decontamination": ORACLE_OP6,
 }
