@@ -6,6 +6,7 @@ from driftlog.llm.decontaminate import ORACLE_OP6, op6_benchmark_decontamination
 from driftlog.llm.extendible_sharding import op4_extendible_sharding, oracle_op4
 from driftlog.llm.packing import op7_kk_packing
 from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
+from driftlog.llm.relative_lz import ORACLE_OP10, op10_relative_lz
 from driftlog.llm.repair_ids import op9_repair_ids
 from driftlog.llm.simhash_dedup import op8_simhash_dedup
 from driftlog.llm.warc_normalise import ORACLE_OP3, op3_warc_normalise
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_kk_packing": op7_kk_packing,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_repair_ids": op9_repair_ids,
+    "op10_relative_lz": op10_relative_lz,
 }
 
 ORACLE: dict[str, str] = {
@@ -25,4 +27,5 @@ ORACLE: dict[str, str] = {
     "op4_extendible_sharding": oracle_op4(),
     "op5_quality_ledger": ORACLE_OP5,
     "op6_benchmark_decontamination": ORACLE_OP6,
+    "op10_relative_lz": ORACLE_OP10,
 }
