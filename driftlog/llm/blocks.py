@@ -29,18 +29,28 @@ BLOCK_BYTES = 16 << 20
 BUCKET_KEYS = 1_000_000
 
 UP = "bucket long, block string, payload binary"
-DOWN = "block string, bucket long, reply binary"
+DOWN = "block string, bucket long, reply binary, figures array<double>"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as bytes; small or regular numbers shrink well."""
+    """Arrays as bytes, compressed by byte planes (the high bytes of small numbers shrink to nothing)."""
     import pickle
-    return zlib.compress(pickle.dumps([np.ascontiguousarray(a) for a in arrays], protocol=5), 1)
+    held = []
+    for a in arrays:
+        a = np.ascontiguousarray(a)
+        planes = a.view(np.uint8).reshape(len(a), a.itemsize).T if len(a) else a.view(np.uint8)
+        held.append((a.dtype.str, len(a), zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)))
+    return pickle.dumps(held, protocol=5)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
     import pickle
-    return pickle.loads(zlib.decompress(data))
+    out = []
+    for kind, n, raw in pickle.loads(data):
+        planes = np.frombuffer(zlib.decompress(raw), np.uint8)
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(planes.reshape(size, n).T).view(kind).reshape(n) if n else np.zeros(0, kind))
+    return out
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -128,22 +138,34 @@ def send(blocks: DataFrame, folder: str, make: Callable[[str, bytes], Iterator[t
     return blocks.select("block").repartition(tasks).mapInArrow(run, UP)
 
 
-def answer(sent: DataFrame, merge: Callable[[int, list[str], list[bytes]], list[bytes]]) -> DataFrame:
-    """``merge(bucket, blocks, payloads)`` gives one reply per block: staged rows ``block, bucket, reply``."""
+def answer(sent: DataFrame, merge: Callable, name: str = "replies") -> DataFrame:
+    """``merge(bucket, blocks, payloads)`` gives one reply per block, or ``(replies, figures)``.
+
+    Staged rows ``block, bucket, reply, figures``; a bucket's figures (a few
+    numbers to be summed over all buckets) stand in its first row only.
+    """
     def run(frame):
         import pandas as pd
         frame = frame.sort_values("block")
-        bucket = int(frame["bucket"].iloc[0])
-        names = frame["block"].tolist()
-        return pd.DataFrame({"block": names, "bucket": bucket, "reply": merge(bucket, names, frame["payload"].tolist())})
+        bucket, names = int(frame["bucket"].iloc[0]), frame["block"].tolist()
+        replies = merge(bucket, names, frame["payload"].tolist())
+        replies, figures = replies if isinstance(replies, tuple) else (replies, [])
+        return pd.DataFrame({"block": names, "bucket": bucket, "reply": replies,
+                             "figures": [[float(x) for x in figures]] + [None] * (len(names) - 1)})
+
+    return staged(sent.groupBy("bucket").applyInPandas(run, DOWN), name)
+
 
-    return staged(sent.groupBy("bucket").applyInPandas(run, DOWN), "replies")
+def figures_of(replies: DataFrame, count: int) -> list[float]:
+    """The sums of the buckets' figures."""
+    row = replies.agg(*[F.coalesce(F.sum(F.get("figures", F.lit(k))), F.lit(0.0)) for k in range(count)]).first()
+    return [float(x) for x in row]
 
 
 def each_block(replies: DataFrame, folder: str, work: Callable, schema: str) -> DataFrame:
-    """``work(block, its bytes, {bucket: reply})`` for each block; yields the rows of a frame."""
+    """``work(block, its bytes, {bucket: reply})`` for each block; gives the rows of a frame."""
     def run(frame):
         block = frame["block"].iloc[0]
         return work(block, read_file(f"{folder}/{block}"), dict(zip(frame["bucket"].tolist(), frame["reply"].tolist())))
 
-    return replies.groupBy("block").applyInPandas(run, schema)
+    return replies.select("block", "bucket", "reply").groupBy("block").applyInPandas(run, schema)

@@ -199,7 +199,7 @@ def parse(docs: DataFrame, make, schema: str, id_col: str = "doc_id", text_col:
     asked = staged(each_block(known, folder, windows, UP), "windows")
     flags = asked.where("bucket < 0").select("block", "bucket", F.col("payload").alias("reply"))
     found = answer(asked.where("bucket >= 0"), _earliest)
-    return each_block(found.unionByName(flags), folder, finish, schema)
+    return each_block(found.select("block", "bucket", "reply").unionByName(flags), folder, finish, schema)
 
 
 def _frame_of(block: _Block, **columns):
