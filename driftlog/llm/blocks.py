@@ -83,34 +83,37 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def write_blocks(docs: DataFrame, folder: str, encode: Callable[[list, list[bytes]], tuple[bytes, int]],
-                 id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def write_blocks(docs: DataFrame, folder: str, encode: Callable[[list, list[bytes], list], tuple[bytes, int]],
+                 id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
     """Write every document into a block; returns the staged list of ``block, n_docs, n_keys``.
 
-    ``encode(ids, texts)`` gives a block's bytes and a number of keys; ``ids`` are integers or None.
+    ``encode(ids, texts, rest)`` gives a block's bytes and a number of keys;
+    ``ids`` are integers or None, ``rest`` each row's ``carry`` columns.
     """
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *carry)
 
     def write(batches):
         import pyarrow as pa
         from pyspark import TaskContext
         from driftlog.llm.common import text_bytes
-        part, out, ids, texts, held = TaskContext.get().partitionId(), [], [], [], 0
+        part, out, ids, texts, rest, held = TaskContext.get().partitionId(), [], [], [], [], 0
 
         def close():
-            nonlocal ids, texts, held
-            data, keys = encode(ids, texts)
+            nonlocal ids, texts, rest, held
+            data, keys = encode(ids, texts, rest)
             block = f"{part:06d}-{len(out):06d}"
             write_file(f"{folder}/{block}", data)
             out.append((block, len(ids), keys))
-            ids, texts, held = [], [], 0
+            ids, texts, rest, held = [], [], [], 0
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+            more = zip(*(c.to_pylist() for c in batch.columns[2:])) if carry else [()] * batch.num_rows
+            for i, text, others in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), more):
                 if ids and held + len(text) > block_bytes:
                     close()
                 ids.append(i)
                 texts.append(text)
+                rest.append(others)
                 held += len(text) + 1
         if ids:
             close()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from driftlog.llm.decontaminate import ORACLE_OP6, op6_benchmark_decontamination
 from driftlog.llm.extendible_sharding import op4_extendible_sharding, oracle_op4
+from driftlog.llm.line_dedup import op2_line_dedup
 from driftlog.llm.packing import op7_kk_packing
 from driftlog.llm.pitman_yor import op1_pitman_yor
 from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
@@ -14,6 +15,7 @@ from driftlog.llm.warc_normalise import ORACLE_OP3, op3_warc_normalise
 
 QUERIES = {
     "op1_pitman_yor": op1_pitman_yor,
+    "op2_line_dedup": op2_line_dedup,
     "op3_warc_normalise": op3_warc_normalise,
     "op4_extendible_sharding": op4_extendible_sharding,
     "op5_quality_ledger": op5_quality_ledger,

@@ -37,7 +37,7 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 LEAST_ID = -(1 << 63)
 
 
-def _encode(ids: list, texts: list[bytes]) -> tuple[bytes, int]:
+def _encode(ids: list, texts: list[bytes], rest: list) -> tuple[bytes, int]:
     """A block: its documents by ascending id (null first), and its number of words."""
     order = sorted(range(len(ids)), key=lambda k: (LEAST_ID if ids[k] is None else ids[k], k))
     n = sum(len(t.split()) for t in texts)
