@@ -112,9 +112,12 @@ def text_bytes(column) -> list[bytes]:
 
 _TOKENIZERS: dict = {}
 _TWO_SPACES = re.compile(r"\s\s")
-_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-CACHE_PIECES = 700_000
+_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Distinct pieces that a worker remembers, and texts (in characters) encoded together.
+CACHE_PIECES = 1_000_000
+CHUNK_CHARS = 2_000_000
 _BATCH = 2_000
+_MARKS = ".,;:!?"
 
 
 def default_tokenizer() -> str:
@@ -122,70 +125,104 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Codes(dict):
+    """Numbers of pieces; a new piece gets the next one and is noted in ``fresh``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        code = self[piece] = len(self)
+        self.fresh.append(piece)
+        return code
+
+
 class IdEncoder:
     """Ids of whole texts by the ``tokenizers`` library, each distinct piece encoded once.
 
-    The byte-level pre-tokenizer always starts a new piece at a lone space
-    between two other characters, so a text may be cut there: its ids are the
-    ids of ``first``, then those of ``" " + piece`` for the others.  Pieces are
-    looked up in a bounded cache; new ones are encoded many at a time, and the
-    ids are told apart by the space that every piece but the first begins with.
+    The byte-level pre-tokenizer always starts a new piece at a lone space or
+    line feed between two other characters, so a text may be cut there and its
+    ids are those of its pieces, one after the other.  Pieces are looked up in
+    a bounded cache; new ones are encoded many at a time and told apart by the
+    space or line feed that each begins with.  Any other kind of tokenizer gets
+    its texts whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        before = self.tokenizer.pre_tokenizer
+        self.by_piece = isinstance(before, ByteLevel) and not before.add_prefix_space and self.tokenizer.normalizer is None
         vocab = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocab.values()) + 1, bool)
         for piece, i in vocab.items():
-            self.begins[i] = piece.startswith("Ġ")
-        self.cache: dict[str, bytes] = {}
+            self.begins[i] = piece.startswith(("Ġ", "Ċ"))
+        self.codes, self.known = _Codes(), []
+        self.marks = {c: self._ids(c).tobytes() for c in _MARKS}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        plain = [p for p in pieces if p and not p.isspace() and p.split() == [p]]
-        for p in set(pieces).difference(plain):
-            self.cache[p] = self._ids(" " + p).tobytes()
+    def _learn(self) -> None:
+        """Encode the fresh pieces.  A piece stands for itself behind a space, or as it is behind a line feed."""
+        codes, known = self.codes, self.known
+        fresh, ended = codes.fresh, []
+        codes.fresh = []
+        for p in fresh:  # a word with one mark behind it is that word and that mark
+            if p[-1:] in self.marks and p[:-1].isalpha():
+                ended.append((codes[p], codes[p[:-1]], self.marks[p[-1]]))
+        after = {x[0] for x in ended}
+        todo = [(codes[p], p if p[:1] == "\n" else " " + p) for p in fresh + codes.fresh if codes[p] not in after]
+        codes.fresh = []
+        known.extend([None] * (len(codes) - len(known)))
+        plain = [x for x in todo if x[1][1:].split() == [x[1][1:]]]
         for k in range(0, len(plain), _BATCH):
             some = plain[k:k + _BATCH]
-            ids = self._ids(" " + " ".join(some))
+            ids = self._ids("".join([x[1] for x in some]))
             at = np.flatnonzero(self.begins[ids])
-            if len(at) != len(some):  # a special token or a piece that holds the mark itself
-                for p in some:
-                    self.cache[p] = self._ids(" " + p).tobytes()
-                continue
-            raw, cut = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
-            for p, a, b in zip(some, cut, cut[1:]):
-                self.cache[p] = raw[a:b]
+            if len(at) == len(some):
+                raw, cut = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+                for (code, _), a, b in zip(some, cut, cut[1:]):
+                    known[code] = raw[a:b]
+        for code, piece in todo:
+            if known[code] is None:  # with other white space in it, or not told apart
+                known[code] = self._ids(piece).tobytes()
+        for code, word, mark in ended:
+            known[code] = known[word] + mark
+
+    def _chunk(self, texts: list[str]) -> list[bytes]:
+        if len(self.codes) > CACHE_PIECES:
+            self.codes, self.known = _Codes(), []
+        look, rows = self.codes.__getitem__, []
+        for text in texts:
+            if _TWO_SPACES.search(text):
+                parts = [p[1:] if k and p[0] == " " else p for k, p in enumerate(_CUT.split(text))]
+            else:
+                parts = text.replace("\n", " \n").split(" ")
+            first = parts[0]
+            direct = first[:1].isspace()  # else: the first piece is looked up behind a line feed, and that taken off
+            rows.append((self._ids(first).tobytes() if direct else None, look("\n" + first) if first and not direct else None,
+                         list(map(look, parts[1:]))))
+        self._learn()
+        known = self.known
+        return [b"".join([head if head is not None else known[first][4:] if first is not None else b"",
+                          *map(known.__getitem__, rest)]) for head, first, rest in rows]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [(_LONE_SPACE.split(x) if _TWO_SPACES.search(x) or x[:1] == " " or x[-1:] == " " else x.split(" "))
-                 for x in texts]
-        new = set()
-        for parts in split:
-            new.update(parts[1:])
-        new.difference_update(self.cache)
-        if new:
-            self._learn(list(new))
-            missing = new.difference(self.cache) if len(new) > CACHE_PIECES else ()
-            if missing:
-                self._learn(list(missing))
-        get = self.cache.get
-        out = []
-        for parts in split:
-            ids = list(map(get, parts))
-            ids[0] = self._ids(parts[0]).tobytes()
-            if None in ids:  # the cache was emptied in between
-                ids = [self._ids((" " if k else "") + p).tobytes() if x is None else x
-                       for k, (p, x) in enumerate(zip(parts, ids))]
-            out.append(b"".join(ids))
-        return out
+        if not self.by_piece:
+            return [self._ids(x).tobytes() for x in texts]
+        out, some, held = [], [], 0
+        for text in texts:
+            some.append(text)
+            held += len(text)
+            if held >= CHUNK_CHARS:
+                out += self._chunk(some)
+                some, held = [], 0
+        return out + self._chunk(some) if some else out
 
 
 def id_encoder(path: str) -> IdEncoder:
