@@ -14,10 +14,11 @@ def split_drop_trailing(text: Column | str, sep: str = ",") -> Column:
     """``String.split(sep)`` as Java does it: trailing empty fields are dropped.
 
     Spark's ``split`` keeps trailing empties, so strip a run of separators at
-    the end first.  ``sep`` is a literal single character.
+    the very end first (a line end after them is a field like any other).
+    ``sep`` is a literal single character.
     """
     esc = "\\" + sep if sep in r".^$*+?()[]{}|\/" else sep
-    return F.split(F.regexp_replace(_c(text), f"({esc})+$", ""), esc)
+    return F.split(F.regexp_replace(_c(text), f"({esc})+\\z", ""), esc)
 
 
 def date_part(time_text: Column | str) -> Column:

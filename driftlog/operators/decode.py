@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftlog.functions.text import split_drop_trailing
+from driftlog.functions.text import null_or_empty, split_drop_trailing
 from driftlog.schemas import CSV_FIELDS, JSON_TEXT
 
 _POLICIES = ("drop", "error", "flag")
@@ -64,19 +64,22 @@ def parse_json_events(df: DataFrame, line_col: str = "line", on_corrupt: str = "
 
     Numbers are read as text and converted with ``try_cast`` so a quoted
     number is accepted; text that is not a number marks the record corrupt.
-    Missing coordinates become 0.0 (primitive defaults).  Empty, null,
-    non-object and unparseable lines are corrupt.
+    Missing coordinates, and coordinates given as empty text, become 0.0
+    (primitive defaults).  Empty, null, non-object and unparseable lines are
+    corrupt, and so is a line with anything but blanks after its object: a
+    parser stops at the end of the first object, so the line is parsed inside
+    ``[{"v": line}]``, where whatever follows the object breaks the array.
     """
-    schema = T.StructType([*JSON_TEXT.fields, T.StructField("_bad_json", T.StringType())])
-    parsed = F.from_json(F.col(line_col), schema,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad_json"})
-    staged = _evaluate_once(df, keep, parsed, "_j")
+    wrapped = T.ArrayType(T.StructType([T.StructField("v", JSON_TEXT)]))
+    parsed = F.from_json(F.concat(F.lit('[{"v":'), F.col(line_col), F.lit("}]")), wrapped)
+    staged = _evaluate_once(df, keep, parsed, "_a")
+    staged = staged.select(*keep, F.when(F.size("_a") == 1, F.get("_a", F.lit(0))["v"]).alias("_j"))
     j = F.col("_j")
     jd_num = F.expr("try_cast(_j.jd AS DOUBLE)")
     wd_num = F.expr("try_cast(_j.wd AS DOUBLE)")
-    bad = (j.isNull() | j["_bad_json"].isNotNull()
-           | (j["jd"].isNotNull() & jd_num.isNull())
-           | (j["wd"].isNotNull() & wd_num.isNull()))
+    bad = (j.isNull()
+           | (~null_or_empty(j["jd"]) & jd_num.isNull())
+           | (~null_or_empty(j["wd"]) & wd_num.isNull()))
     staged = staged.select("*", jd_num.alias("_jd"), wd_num.alias("_wd"))
     staged = _apply_policy(staged, bad, on_corrupt, "JSON")
     extra = ["_corrupt"] if on_corrupt == "flag" else []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlog.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from driftlog.operators.joins import lookup_join
 
 
 def latest_names(dictionary: DataFrame, key: str = "event_id", name: str = "event_name",
@@ -44,7 +44,7 @@ def incremental_poll(dictionary: DataFrame, bound: str | None,
 
     On a JDBC or Parquet source the comparison is pushed down to the scan.
     The caller keeps the high-water mark: ``max(version)`` of the result
-    (see ``driftlog.sources.dictionary.DictionaryPoller``).
+    (see ``driftlog.sources.dictionary``).
     """
     b = first_bound if bound is None else bound
     cond = F.col(version) >= F.lit(b) if inclusive else F.col(version) > F.lit(b)
@@ -53,13 +53,11 @@ def incremental_poll(dictionary: DataFrame, bound: str | None,
 
 def lookup_event_names(facts: DataFrame, names: DataFrame, fact_key: str = "type_id",
                        key: str = "event_id", name: str = "event_name",
-                       out_col: str = "event_type_name", on_missing: str = "null",
-                       max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                       already_materialized: bool = False) -> DataFrame:
+                       out_col: str = "event_type_name", on_missing: str = "null") -> DataFrame:
     """Add ``out_col`` to every fact by id; ``names`` must hold one row per id.
 
-    On a streaming ``facts`` the dictionary is size-checked once and kept
-    lazy, so a JDBC-backed dictionary is re-read by every micro-batch.
+    On a streaming ``facts`` a JDBC-backed dictionary is re-read by every
+    micro-batch; Spark chooses the join by the bytes it then has.
 
     ``on_missing``: ``"null"`` keeps the fact with a null name, ``"drop"``
     removes it, ``"error"`` fails the task (the reference's null dereference).
@@ -68,8 +66,7 @@ def lookup_event_names(facts: DataFrame, names: DataFrame, fact_key: str = "type
         raise ValueError("on_missing must be 'null', 'drop' or 'error'")
     dim = names.select(F.col(key).alias("_dict_key"), F.col(name).alias(out_col))
     how = "inner" if on_missing == "drop" else "left"
-    joined = lookup_join(facts.withColumn("_dict_key", F.col(fact_key)), dim, "_dict_key", how,
-                         max_broadcast_rows, already_materialized).drop("_dict_key")
+    joined = lookup_join(facts.withColumn("_dict_key", F.col(fact_key)), dim, "_dict_key", how).drop("_dict_key")
     if on_missing == "error":
         joined = joined.where(F.when(F.col(out_col).isNull(),
                                      F.raise_error(F.concat(F.lit("unknown event id "),

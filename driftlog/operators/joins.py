@@ -1,26 +1,18 @@
-"""Dimension lookups with an explicit size check before broadcasting.
+"""Dimension lookups and staged tables.
 
-A dimension is materialised once (``checkpoint`` into the shared folder, so
-lineage is cut and executors can re-read it after a loss), counted, and only
-broadcast when the count is under ``max_broadcast_rows``.  Above the bound
-the join is left to the planner: a shuffle join on the key, where AQE splits
-skewed partitions (one hot key can hold a large share of the facts).
+A lookup is a plain join on the key: Spark broadcasts a side by its bytes
+(known before, or measured by AQE at run time) and otherwise shuffles both,
+where AQE splits skewed partitions (one hot key can hold a large share of the
+facts).  No hint is forced, and building a plan starts no job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from driftlog.session import shared_path, shared_root
-
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
+from contextlib import contextmanager
 
+from pyspark.sql import DataFrame
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+from driftlog.session import delete_path, shared_path
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -32,30 +24,20 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, "stage", name, unique=True)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sized_dimension(dim: DataFrame, max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                    already_materialized: bool = False, materialize_first: bool = True) -> DataFrame:
-    """Return ``dim`` ready for joining: broadcast-hinted only if provably small.
-
-    ``materialize_first=False`` counts the dimension as it is and keeps it
-    lazy -- for stream-static joins, where the static side must be re-read
-    by every micro-batch (a JDBC dictionary) rather than frozen.
-    """
-    if max_broadcast_rows is None:
-        return dim
-    if materialize_first and not already_materialized:
-        dim = materialize(dim)
-    n = dim.count()
-    return F.broadcast(dim) if n <= max_broadcast_rows else dim
+@contextmanager
+def staged_for(df: DataFrame, name: str):
+    """``stage_table`` for the length of a ``with`` block; the copy is deleted at its end."""
+    path = shared_path(df.sparkSession, "stage", name, unique=True)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(df.sparkSession, path)
 
 
-def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
-                max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                already_materialized: bool = False, materialize_first: bool = True) -> DataFrame:
+def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Many-to-one join of facts with a dimension (dimension keys must be unique)."""
-    if facts.isStreaming:
-        materialize_first = False
-    return facts.join(sized_dimension(dim, max_broadcast_rows, already_materialized, materialize_first),
-                      on, how)
+    return facts.join(dim, on, how)

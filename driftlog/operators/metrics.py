@@ -9,7 +9,10 @@ bounded blocks of the order column, see ``running_count``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -34,6 +37,8 @@ def running_count(df: DataFrame, keys: tuple[str, ...] = USER_KEY, seq: str = "s
     (partial aggregation), prefix-sum the block counts per key over the small
     aggregated table, then number rows inside each (key, block) -- a window
     whose partition holds at most ``seq_block`` rows however hot the key is.
+    Null keys are keys like any other (an unknown type is null), so the
+    blocks are joined null-safely.
     """
     if not isinstance(df.schema[seq].dataType, NumericType):
         raise TypeError(f"running_count needs a numeric order column; {seq!r} is "
@@ -41,10 +46,12 @@ def running_count(df: DataFrame, keys: tuple[str, ...] = USER_KEY, seq: str = "s
                         "of a single partition or a numeric arrival id)")
     k = list(keys)
     blocked = df.withColumn("_blk", F.floor(F.col(seq) / F.lit(seq_block)).cast("long"))
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if carry_first:
-        aggs.append(F.min_by(carry_first, seq).alias("_first_b"))
-    per_block = blocked.groupBy(*k, "_blk").agg(*aggs)
+    # Facts meet only counts and numeric minima (a hash aggregation); the text
+    # that goes with the minimum is picked from the few rows left.
+    carried = [carry_first] if carry_first else []
+    per_value = blocked.groupBy(*k, "_blk", *carried).agg(F.count(F.lit(1)).alias("_n"), F.min(seq).alias("_first_seq"))
+    per_block = per_value.groupBy(*k, "_blk").agg(
+        F.sum("_n").alias("_n"), *[F.min_by(c, "_first_seq").alias("_first_b") for c in carried])
     by_key = Window.partitionBy(*k).orderBy("_blk")
     offsets = per_block.select(
         *k, "_blk",
@@ -54,9 +61,12 @@ def running_count(df: DataFrame, keys: tuple[str, ...] = USER_KEY, seq: str = "s
            .alias(first_alias)] if carry_first else []),
     )
     in_block = Window.partitionBy(*k, "_blk").orderBy(seq)
-    joined = blocked.join(offsets, [*k, "_blk"], "inner")
+    renamed = offsets.select(*[F.col(c).alias(f"_k_{c}") for c in [*k, "_blk"]],
+                             *[c for c in offsets.columns if c not in (*k, "_blk")])
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*k, "_blk"]]
+    joined = blocked.join(renamed, reduce(and_, same), "inner")
     return (joined.withColumn(out_col, (F.col("_off") + F.row_number().over(in_block)).cast("long"))
-            .drop("_blk", "_off"))
+            .drop("_blk", "_off", *[f"_k_{c}" for c in [*k, "_blk"]]))
 
 
 def page_views(df: DataFrame, keys: tuple[str, ...] = USER_KEY, out_col: str = "pv") -> DataFrame:
@@ -73,11 +83,31 @@ def active_users(df: DataFrame, keys: tuple[str, ...] = ("event_name", "dt", "ev
 
 def key_summary(df: DataFrame, keys: tuple[str, ...] = USER_KEY, seq: str = "seq",
                 dt: str = "dt") -> DataFrame:
-    """Per key: running count's final value, first-seen date, last seq."""
+    """Per key: running count's final value, first-seen date, last seq.
+
+    Two steps: facts are counted per key and date with numeric minima and
+    maxima (a hash aggregation), then the date of the least seq is picked.
+    """
+    per_day = df.groupBy(*keys, dt).agg(F.count(F.lit(1)).alias("_n"), F.min(seq).alias("_first"),
+                                        F.max(seq).alias("_last"))
+    return per_day.groupBy(*keys).agg(
+        F.sum("_n").alias("cnt"),
+        F.min_by(dt, "_first").alias("first_dt"),
+        F.max("_last").alias("last_seq"),
+    )
+
+
+def arrival_summary(df: DataFrame, arrival: Column, keys: tuple[str, ...] = USER_KEY,
+                    dt: str = "dt") -> DataFrame:
+    """Streaming form of ``key_summary``: first date and last row by ``arrival``.
+
+    One aggregation step, because a stream in update mode allows only one.
+    ``arrival`` is a sortable value, e.g. a struct of batch time and order.
+    """
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.min_by(dt, seq).alias("first_dt"),
-        F.max(seq).alias("last_seq"),
+        F.min_by(dt, arrival).alias("first_dt"),
+        F.max(arrival).alias("last"),
     )
 
 
@@ -103,7 +133,14 @@ def activity_scoreboard(df: DataFrame, seq: str = "seq", dt: str = "dt") -> Data
     return scoreboard_from_summary(key_summary(df, seq=seq, dt=dt))
 
 
-def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], value: str, order: str,
-                   out_col: str = "value") -> DataFrame:
-    """Keyed upsert table: per key, the value of the last write by ``order``."""
-    return df.groupBy(*keys).agg(F.max_by(value, order).alias(out_col))
+def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], value: str,
+                   order: str | tuple[str, ...], out_col: str = "value") -> DataFrame:
+    """Keyed upsert table: per key, the value of the last write by ``order`` (one or more columns).
+
+    Writes are reduced per key and value first, by the greatest last order
+    column (a hash aggregation if it is a number).
+    """
+    first, last = (order[:-1], order[-1]) if isinstance(order, tuple) else ((), order)
+    per_value = df.groupBy(*keys, *first, F.col(value).alias("_value")).agg(F.max(last).alias("_last"))
+    by = F.struct(*first, "_last") if first else F.col("_last")
+    return per_value.groupBy(*keys).agg(F.max_by("_value", by).alias(out_col))

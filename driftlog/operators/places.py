@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from driftlog.functions.geohash import with_geohash
 from driftlog.functions.text import empty_to_null, json_text_field, null_or_empty, split_drop_trailing
-from driftlog.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from driftlog.operators.joins import lookup_join, stage_table
 
 PLACE_COLS = ("province", "city", "district")
 
@@ -35,52 +35,69 @@ def known_places(places: DataFrame) -> DataFrame:
     return places.where(F.col("geohash5").isNotNull() & ~empty)
 
 
-def enrich_places(facts: DataFrame, places: DataFrame, cell: str = "geohash5",
-                  max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                  already_materialized: bool = False) -> DataFrame:
+def enrich_places(facts: DataFrame, places: DataFrame, cell: str = "geohash5") -> DataFrame:
     """Left join on the cell; place columns of the facts are replaced."""
     dim = places.select(F.col("geohash5").alias(cell), *PLACE_COLS)
     base = facts.drop(*[c for c in PLACE_COLS if c in facts.columns])
-    return lookup_join(base, dim, cell, "left", max_broadcast_rows, already_materialized)
+    return lookup_join(base, dim, cell, "left")
 
 
-def missing_cells(facts: DataFrame, places: DataFrame, seq: str = "seq", cell: str = "geohash5",
+def missing_cells(facts: DataFrame, places: DataFrame, seq: str | tuple[str, ...] = "seq", cell: str = "geohash5",
                   lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Distinct cells of the facts absent from the dictionary, each with the
-    coordinates of its first event (by ``seq``).
+    coordinates of its first event (by ``seq``, one or more order columns).
 
     Facts are reduced per cell first (partial aggregation, so a hot cell is
-    combined map-side), and only the per-cell rows meet the dictionary.
+    combined map-side), and only the per-cell rows meet the dictionary.  With
+    several order columns (batch, place in the batch) the facts are reduced
+    per cell and leading columns by the last one.
     """
-    # Two primitive min_by's (seq is unique, so both pick the same row) keep
-    # the aggregation hash-based; a struct-valued min_by would force a sort.
+    # Primitive min_by's (the order is unique, so both pick the same row) keep
+    # the aggregation of the facts hash-based.
+    lead, last = (seq[:-1], seq[-1]) if isinstance(seq, tuple) else ((), seq)
     first = (facts.where(F.col(cell).isNotNull())
-             .groupBy(cell)
-             .agg(F.min_by(lon, seq).alias("lon"), F.min_by(lat, seq).alias("lat")))
+             .groupBy(cell, *lead)
+             .agg(F.min_by(lon, last).alias("lon"), F.min_by(lat, last).alias("lat")))
+    if lead:
+        by = F.struct(*lead) if len(lead) > 1 else F.col(lead[0])
+        first = first.groupBy(cell).agg(F.min_by("lon", by).alias("lon"), F.min_by("lat", by).alias("lat"))
     known = known_places(places).select(F.col("geohash5").alias(cell))
     return (first.join(known, cell, "left_anti")
             .select(F.col(cell).alias("geohash5"), "lon", "lat"))
 
 
-def fill_place_cache(facts: DataFrame, places: DataFrame, resolver: Resolver,
-                     seq: str = "seq", cell: str = "geohash5", lat: str = "lat",
-                     lon: str = "lon") -> DataFrame:
-    """The grown dictionary: known entries plus one resolved entry per new cell.
+def resolve_missing(facts: DataFrame, places: DataFrame, resolver: Resolver,
+                    seq: str | tuple[str, ...] = "seq", cell: str = "geohash5", lat: str = "lat",
+                    lon: str = "lon") -> DataFrame:
+    """One row ``(geohash5, province, city, district)`` per new cell.
 
     ``resolver`` maps ``(geohash5, lon, lat)`` rows to
     ``(geohash5, province, city, district)`` -- e.g. ``geocoder_resolver``
-    around an HTTP client, or a table-driven rule in tests.
+    around an HTTP client, or a table-driven rule in tests.  The result is
+    lazy: write it once if it is used twice, or the resolver is called twice.
     """
-    new = resolver(missing_cells(facts, places, seq, cell, lat, lon))
-    return (known_places(places).select("geohash5", *PLACE_COLS)
-            .unionByName(new.select("geohash5", *PLACE_COLS)))
+    return resolver(missing_cells(facts, places, seq, cell, lat, lon)).select("geohash5", *PLACE_COLS)
 
 
-def enrich_with_fill(facts: DataFrame, places: DataFrame, resolver: Resolver, seq: str = "seq",
+def fill_place_cache(facts: DataFrame, places: DataFrame, resolver: Resolver,
+                     seq: str | tuple[str, ...] = "seq", cell: str = "geohash5", lat: str = "lat",
+                     lon: str = "lon") -> DataFrame:
+    """The grown dictionary: known entries plus one resolved entry per new cell."""
+    new = resolve_missing(facts, places, resolver, seq, cell, lat, lon)
+    return known_places(places).select("geohash5", *PLACE_COLS).unionByName(new)
+
+
+def enrich_with_fill(facts: DataFrame, places: DataFrame, resolver: Resolver, seq: str | tuple[str, ...] = "seq",
                      lat: str = "lat", lon: str = "lon") -> tuple[DataFrame, DataFrame]:
-    """Cache-aside enrichment: returns (enriched facts, grown dictionary)."""
+    """Cache-aside enrichment: returns (enriched facts, grown dictionary).
+
+    The new entries are written to the shared folder once and read back, so
+    the resolver is called once per cell however often the results are read,
+    and rows and dictionary agree.
+    """
     geo = facts if "geohash5" in facts.columns else with_geohash5(facts, lat, lon)
-    grown = fill_place_cache(geo, places, resolver, seq, "geohash5", lat, lon)
+    new = stage_table(resolve_missing(geo, places, resolver, seq, "geohash5", lat, lon), "new_places")
+    grown = known_places(places).select("geohash5", *PLACE_COLS).unionByName(new)
     return enrich_places(geo, grown), grown
 
 
@@ -135,20 +152,3 @@ def geocoder_resolver(client_factory: Callable[[], Callable[[float, float], str]
         return parse_geocoder_response(landed)
 
     return resolve
-
-
-def nation_resolver(nation: DataFrame, region: DataFrame, district: str = "d_new") -> Resolver:
-    """Offline stand-in for a geocoder: cell -> nation ``floor(lon + lat) % 25``.
-
-    ``nation`` (25 rows) and ``region`` (5 rows) are fixed-size reference
-    tables, so broadcasting them is bounded whatever the data volume.
-    """
-    def resolve(cells: DataFrame) -> DataFrame:
-        n = nation.select("n_nationkey", "n_name", "n_regionkey")
-        r = region.select("r_regionkey", "r_name")
-        keyed = cells.withColumn("_nk", F.pmod(F.floor(F.col("lon") + F.col("lat")).cast("long"), F.lit(25)))
-        return (keyed.join(F.broadcast(n), keyed._nk == n.n_nationkey)
-                .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-                .select("geohash5", F.col("r_name").alias("province"), F.col("n_name").alias("city"),
-                        F.lit(district).alias("district")))
-    return resolve

@@ -1,8 +1,10 @@
 """Batch forms of the sinks: hourly text archive, keyed upsert table, topic routing.
 
-Every writer here is idempotent for a given ``batch_id`` (re-running a
-micro-batch after an executor or driver loss overwrites the same folder),
-which is what makes the streaming jobs exactly-once end to end.
+Every folder writer here is idempotent for a given ``batch_id`` (re-running a
+micro-batch after an executor or driver loss overwrites the same folder), so
+folder sinks are exactly-once.  Records sent to a Kafka topic are not: a
+replayed micro-batch sends them again (at least once); they are keyed by their
+arrival order so that readers can drop the repeats.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from driftlog.functions.text import hour_folder
 from driftlog.operators.metrics import latest_per_key
+from driftlog.session import delete_path, numbered_folders
 
 # Archive folder pattern and zone, roll size in bytes.
 ARCHIVE_PATTERN = "yyyy-MM-dd--HH"
@@ -29,33 +32,86 @@ def with_archive_bucket(df: DataFrame, clock: Column | str | None = None,
 
 
 def write_archive(df: DataFrame, path: str, line_col: str = "line", bucket_col: str = "bucket",
-                  order_col: str | None = None, max_records_per_file: int | None = None,
-                  avg_line_bytes: int = 256, mode: str = "append",
-                  partitions: int | None = None) -> None:
+                  max_records_per_file: int | None = None, mode: str = "append") -> None:
     """Write text lines into ``path/bucket=<hour>/`` folders.
 
-    With ``order_col`` (a dense numeric arrival order such as an offset) the
-    rows are first hash-partitioned on ``(bucket, order div rows_per_file)``:
-    each chunk of consecutive rows of one hour lands in one task, so the tree
-    gets about one file per chunk instead of one per (task, hour), a busy
-    hour is still spread over as many tasks as it has chunks, and -- unlike
-    a range partitioning -- no sampling pass over the input is needed.  The
-    writer count is fixed (``partitions``, default the shuffle partitions,
-    see ``session.scale_conf``) so small archives are not funnelled into one
-    task by partition coalescing.
-    Without ``order_col`` each task writes its own rows as they are (the
-    right choice for one micro-batch, which spans one or two hours).
-    Files roll at ``max_records_per_file`` rows, by default sized so a file
-    holds about ``ROLL_BYTES``.
+    Rows are rebalanced by hour: AQE joins small hours and splits a busy one by
+    its real bytes, so the tree gets a few bounded files per hour instead of one
+    per (task, hour), and no hour is one task's work.  ``max_records_per_file``
+    bounds a file by rows as well.
     """
-    rows = max_records_per_file or max(1, ROLL_BYTES // max(1, avg_line_bytes))
-    out = df.select(F.col(line_col).alias("value"), F.col(bucket_col).alias("bucket"),
-                    *([F.col(order_col).alias("_order")] if order_col else []))
-    if order_col:
-        chunk = F.floor(F.col("_order") / F.lit(rows)).cast("long")
-        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartition(n, "bucket", chunk).drop("_order")
-    out.write.mode(mode).option("maxRecordsPerFile", rows).partitionBy("bucket").text(path)
+    out = df.select(F.col(line_col).alias("value"), F.col(bucket_col).alias("bucket")).hint("rebalance", "bucket")
+    writer = out.write.mode(mode)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.partitionBy("bucket").text(path)
+
+
+def write_archive_batch(df: DataFrame, archive: str, batch_id: int, line_col: str = "line",
+                        bucket_col: str = "bucket") -> None:
+    """One micro-batch of the stream's archive: ``archive/batches/batch=N/bucket=H``.
+
+    The whole batch folder is overwritten, so a batch replayed in a later hour
+    leaves nothing of its first copy.  Rows are rebalanced by hour, so a batch of
+    ordinary size is one file per hour it spans; ``compact_archive`` merges batches.
+    """
+    write_archive(df, f"{archive.rstrip('/')}/batches/batch={batch_id}", line_col, bucket_col, mode="overwrite")
+
+
+def _archive_batches(spark: SparkSession, archive: str, ids: list[int]) -> DataFrame:
+    root = f"{archive}/batches"
+    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("batch", T.LongType()),
+                           T.StructField("bucket", T.StringType())])
+    return (spark.read.schema(schema).option("basePath", root)
+            .text([f"{root}/batch={n}" for n in ids]).select("value", "bucket"))
+
+
+def _archive_segments(spark: SparkSession, archive: str) -> list[int]:
+    return numbered_folders(spark, f"{archive.rstrip('/')}/merged", "upto")
+
+
+def compact_archive(spark: SparkSession, archive: str, roll_bytes: int = ROLL_BYTES, keep_last: int = 1) -> None:
+    """Merge the stream's batch folders into hour files of about ``roll_bytes`` at most.
+
+    The batches written since the last time become one segment
+    ``archive/merged/upto=N/bucket=H``; what was merged before is not touched.
+    The segment counts once it is complete, and only then its batch folders are
+    deleted.  The ``keep_last`` newest batches stay as they are: a restarted query
+    may write its last batch again.  Run it once an hour or so.
+    """
+    root = archive.rstrip("/")
+    upto = max(_archive_segments(spark, root), default=-1)
+    ids = [n for n in numbered_folders(spark, f"{root}/batches", "batch") if n > upto]
+    ids = ids[:len(ids) - keep_last] if keep_last else ids
+    if ids:
+        conf, key = spark.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        before = conf.get(key)
+        conf.set(key, str(roll_bytes))
+        try:
+            write_archive(_archive_batches(spark, root, ids), f"{root}/merged/upto={ids[-1]}", "value", "bucket",
+                          mode="overwrite")
+        finally:
+            conf.set(key, before)
+        for n in ids:
+            delete_path(spark, f"{root}/batches/batch={n}")
+
+
+def read_stream_archive(spark: SparkSession, archive: str) -> DataFrame:
+    """All lines of a stream's archive (``value, bucket``): the merged segments and the batches after them."""
+    root = archive.rstrip("/")
+    segments = _archive_segments(spark, root)
+    ids = [n for n in numbered_folders(spark, f"{root}/batches", "batch") if n > max(segments, default=-1)]
+    parts = []
+    if segments:
+        schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("upto", T.LongType()),
+                               T.StructField("bucket", T.StringType())])
+        parts.append(spark.read.schema(schema).option("basePath", f"{root}/merged")
+                     .text([f"{root}/merged/upto={n}" for n in segments]).select("value", "bucket"))
+    if ids:
+        parts.append(_archive_batches(spark, root, ids))
+    if not parts:
+        return spark.createDataFrame([], "value string, bucket string")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -81,6 +137,6 @@ def write_changes(changes: DataFrame, path: str, batch_id: int) -> None:
 
 
 def kv_table(changes: DataFrame, keys=("board_key", "event_type"), value: str = "value",
-             order: str = "seq") -> DataFrame:
-    """Current table of a keyed upsert log: per key, the last written value."""
+             order: str | tuple[str, ...] = "seq") -> DataFrame:
+    """Current table of a keyed upsert log: per key, the last written value by ``order`` (one or more columns)."""
     return latest_per_key(changes, list(keys), value, order)

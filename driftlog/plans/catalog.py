@@ -12,15 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlog.operators import decode, dictionary, joins, metrics, places, route, sinks
+from driftlog.operators import decode, dictionary, metrics, places, route, sinks
 from driftlog.plans import derived
 from driftlog.session import shared_path
 from driftlog.sources import protobuf
+from driftlog.sources.dictionary import IncrementalNames
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed value: the dictionary bound of the incremental-poll query.
 POLL_BOUND = "2024-01-10"
+# The days up to which three polls see the dictionary (None: all of it), and a number of batches.
+POLL_DAYS = ("2024-01-15", "2024-01-20", None)
+CHANGE_BATCHES = 3
 
 
 def q_decode_log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +66,7 @@ def q_place_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _resolver(spark: SparkSession, sf_dir: str) -> places.Resolver:
-    return places.nation_resolver(derived.table(spark, sf_dir, "nation"),
-                                  derived.table(spark, sf_dir, "region"))
+    return derived.nation_resolver(derived.table(spark, sf_dir, "nation"), derived.table(spark, sf_dir, "region"))
 
 
 def q_place_cache_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,16 +75,16 @@ def q_place_cache_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_place_parse_response(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = derived.places(spark, sf_dir)
-    q = F.lit('"')
-    response = F.concat(F.lit('{"regeocode":{"addressComponent":{"province":"'), p.province,
-                        F.lit('","city":"'), p.city, F.lit('","district":"'), p.district, q,
-                        F.lit("}}}"))
+    p = derived.all_places(spark, sf_dir)
+    text = lambda c: F.concat(F.lit('"'), F.coalesce(c, F.lit("")), F.lit('"'))
+    response = F.concat(F.lit('{"regeocode":{"addressComponent":{"province":'), text(p.province),
+                        F.lit(',"city":'), F.when(p.city_list, "[]").otherwise(text(p.city)),
+                        F.lit(',"district":'), text(p.district), F.lit("}}}"))
     return places.parse_geocoder_response(p.select("geohash5", response.alias("response")))
 
 
 def q_place_dict_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return places.decode_place_text(places.encode_place_text(derived.places(spark, sf_dir)))
+    return places.decode_place_text(places.encode_place_text(derived.all_places(spark, sf_dir)))
 
 
 def q_event_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +110,64 @@ def q_running_user_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.running_count(lg).select("seq", "event_name", "event_type", "uid", "first_dt", "cnt")
 
 
+def q_running_count_unknown_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts where the dictionary lacks an id: its rows have a null type and are counted all the same."""
+    names = dictionary.latest_names(derived.dictionary(spark, sf_dir)).where("event_id != '2'")
+    named = dictionary.lookup_event_names(derived.log(spark, sf_dir).drop("event_type"), names, out_col="event_type")
+    counted = metrics.running_count(named.select("seq", "event_name", "event_type", "uid", "dt"))
+    return counted.select("seq", "event_name", "event_type", "uid", "first_dt", "cnt")
+
+
+def q_parse_csv_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode.parse_csv_events(derived.csv_line_ends(spark, sf_dir))
+
+
+def q_parse_json_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = decode.parse_json_events(derived.json_trailing(spark, sf_dir))
+    return parsed.select("seq", "uid", "time", "event_type", "jd", "wd")
+
+
+def q_dict_after_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary after three polls, each seeing the versions up to its day and starting from the stored bound."""
+    versions = derived.dictionary(spark, sf_dir)
+    store = shared_path(spark, "names", unique=True)
+    for k, day in enumerate(POLL_DAYS):
+        seen = versions if day is None else versions.where(F.col("last_update") <= day)
+        # A new poller each time, as after a restart.
+        names = IncrementalNames(spark, lambda seen=seen: seen, store, first_bound=POLL_BOUND).refresh(k)
+    return names.select("event_id", "event_name", "last_update")
+
+
+def q_scoreboard_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board after its change log was written in three batches (rows out of order), partly folded."""
+    from driftlog.streaming.jobs import board_table, compact_changes
+    lg = derived.log(spark, sf_dir)
+    changes, snapshot = shared_path(spark, "changes", unique=True), shared_path(spark, "board", unique=True)
+    for batch in range(CHANGE_BATCHES):
+        part = lg.where(F.col("seq") * 7 % CHANGE_BATCHES == batch)
+        cells = part.select(F.concat_ws("|", "event_name", "dt").alias("board_key"), "event_type",
+                            F.col("uid").alias("value"), F.col("seq").alias("last_seq"))
+        sinks.write_changes(cells, changes, batch)
+        if batch == 1:
+            compact_changes(spark, changes, snapshot)
+    return board_table(spark, changes, snapshot)
+
+
+def q_archive_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's archive: three batches, one of them written twice, two merged, summarised per hour."""
+    beans = _json_beans(spark, sf_dir)
+    fields = {"eventType": "event_type", "seq": "seq", "uid": "uid"}
+    lines = decode.encode_json_events(beans, out_col="line", keep=("ts", "seq"), fields=fields)
+    filed = sinks.with_archive_bucket(lines, clock="ts")
+    path = shared_path(spark, "stream-archive", unique=True)
+    for batch in (0, 1, 1, 2):
+        sinks.write_archive_batch(filed.where(F.col("seq") % 3 == batch), path, batch)
+    sinks.compact_archive(spark, path)
+    seq = F.get_json_object("value", "$.seq").cast("long")
+    return sinks.read_stream_archive(spark, path).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"))
+
+
 def q_activity_pv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.page_views(derived.log(spark, sf_dir))
 
@@ -135,7 +196,7 @@ def q_archive_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
               "province": "province", "seq": "seq", "time": "time", "uid": "uid", "wd": "wd"}
     lines = decode.encode_json_events(beans, out_col="line", keep=("ts", "seq"), fields=fields)
     path = shared_path(spark, "archive", unique=True)
-    sinks.write_archive(sinks.with_archive_bucket(lines, clock="ts"), path, order_col="seq")
+    sinks.write_archive(sinks.with_archive_bucket(lines, clock="ts"), path)
     back = sinks.read_archive(spark, path)
     seq = F.get_json_object("value", "$.seq").cast("long")
     return back.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(seq).alias("first_seq"),
@@ -163,27 +224,28 @@ def q_enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("lat").alias("latitude"))
     payloads = protobuf.encode_log_batches(beans, seq_col="seq")
     rows = protobuf.decode_log_batches(payloads, keep=("seq",), item_col="item")
-    rows = rows.withColumn("seq", F.struct("seq", "item")).drop("item")
-    # The cache-aside fill reads the rows twice (cells, then the join): decode once.
-    rows = joins.stage_table(rows, "enrich_job_rows")
     names = dictionary.latest_names(derived.dictionary(spark, sf_dir))
-    out, _ = enrich_batch(rows, derived.places(spark, sf_dir), names, _resolver(spark, sf_dir))
+    geo = places.with_geohash5(rows, "latitude", "longitude")
+    _, grown = places.enrich_with_fill(geo, derived.places(spark, sf_dir), _resolver(spark, sf_dir),
+                                       seq=("seq", "item"), lat="latitude", lon="longitude")
+    out = enrich_batch(geo, grown, names)
     return out.select("uid", "event_id", "event_name", "province", "city", "district", "longitude", "latitude")
 
 
 def q_split_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole JSON routing job: lines -> rows -> place (cache-aside) -> JSON text -> routes."""
     from driftlog.streaming.jobs import split_batch
-    # The cache-aside fill reads the rows twice (cells, then the join): parse once.
-    parsed = joins.stage_table(decode.parse_json_events(derived.json_lines(spark, sf_dir)), "split_job_rows")
-    coded, _ = split_batch(parsed, derived.places(spark, sf_dir), _resolver(spark, sf_dir))
-    return route.route_events(coded, "event_type").select("seq", "route", "json")
+    parsed = places.with_geohash5(decode.parse_json_events(derived.json_lines(spark, sf_dir)), "wd", "jd")
+    _, grown = places.enrich_with_fill(parsed, derived.places(spark, sf_dir), _resolver(spark, sf_dir), lat="wd", lon="jd")
+    return route.route_events(split_batch(parsed, grown), "event_type").select("seq", "route", "json")
 
 
 QUERIES: dict[str, Query] = {
     "decode_log_batches": q_decode_log_batches,
     "parse_csv_events": q_parse_csv_events,
     "parse_json_events": q_parse_json_events,
+    "parse_csv_line_ends": q_parse_csv_line_ends,
+    "parse_json_trailing": q_parse_json_trailing,
     "encode_json_events": q_encode_json_events,
     "geohash5": q_geohash5,
     "place_enrich": q_place_enrich,
@@ -194,13 +256,17 @@ QUERIES: dict[str, Query] = {
     "dict_latest": q_dict_latest,
     "dict_poll_order": q_dict_poll_order,
     "dict_incremental_poll": q_dict_incremental_poll,
+    "dict_after_polls": q_dict_after_polls,
     "running_user_count": q_running_user_count,
+    "running_count_unknown_type": q_running_count_unknown_type,
     "activity_pv": q_activity_pv,
     "activity_uv": q_activity_uv,
     "activity_scoreboard": q_activity_scoreboard,
     "route_events": q_route_events,
     "route_counts": q_route_counts,
+    "scoreboard_from_changes": q_scoreboard_from_changes,
     "archive_hourly": q_archive_hourly,
+    "archive_compacted": q_archive_compacted,
     "kv_latest": q_kv_latest,
     "activity_count_job": q_activity_count_job,
     "enrich_job": q_enrich_job,

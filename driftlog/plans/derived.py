@@ -104,6 +104,52 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("d"), (c.first_seq % 7).cast("string")).alias("district")))
 
 
+def all_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place for every cell; some have no city (or a list of cities) or no district, by rule."""
+    c = cells(spark, sf_dir)
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return (c.join(nation, nation.n_nationkey == c.first_seq % 25)
+            .join(region, region.r_regionkey == nation.n_regionkey)
+            .select("geohash5", F.col("r_name").alias("province"),
+                    F.when(~(c.first_seq % 5).isin(1, 2), F.col("n_name")).alias("city"),
+                    F.when(c.first_seq % 7 != 3, F.concat(F.lit("d"), (c.first_seq % 7).cast("string"))).alias("district"),
+                    (c.first_seq % 5 == 2).alias("city_list")))
+
+
+def nation_resolver(nation: DataFrame, region: DataFrame, district: str = "d_new"):
+    """Offline stand-in for a geocoder: cell -> nation ``floor(lon + lat) % 25``.
+
+    A cell whose nation is not found keeps its row, without names.
+    """
+    def resolve(cells: DataFrame) -> DataFrame:
+        n = nation.select("n_nationkey", "n_name", "n_regionkey")
+        r = region.select("r_regionkey", "r_name")
+        keyed = cells.withColumn("_nk", F.pmod(F.floor(F.col("lon") + F.col("lat")).cast("long"), F.lit(25)))
+        return (keyed.join(n, keyed._nk == n.n_nationkey, "left")
+                .join(r, n.n_regionkey == r.r_regionkey, "left")
+                .select("geohash5", F.col("r_name").alias("province"), F.col("n_name").alias("city"),
+                        F.lit(district).alias("district")))
+    return resolve
+
+
+def csv_line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV lines with a line end left on some; where the last field is empty it is then the field."""
+    lines = csv_lines(spark, sf_dir)
+    end = F.when(F.col("seq") % 5 == 0, "\n").when(F.col("seq") % 7 == 0, "\r").otherwise("")
+    return lines.select("seq", F.concat("line", end).alias("line"))
+
+
+def json_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON lines with blanks, a second object, text or a bracket behind some, and empty coordinates."""
+    lines = json_lines(spark, sf_dir)
+    s = F.col("seq")
+    tail = (F.when(s % 5 == 0, " \n").when(s % 7 == 0, '{"uid":"second"}').when(s % 19 == 0, " trailing text")
+            .when(s % 23 == 0, "]").when(s % 29 == 0, "}").when(s % 31 == 0, ',{"uid":"second"}').otherwise(""))
+    line = F.when(s % 37 == 0, F.regexp_replace("line", '"jd":"[0-9.]+"', '"jd":""')).otherwise(F.col("line"))
+    return lines.select("seq", F.concat(line, tail).alias("line"))
+
+
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many-version event dictionary: one row per (id, day) version."""
     lg = log(spark, sf_dir)

@@ -67,6 +67,11 @@ _PLACES = """SELECT c.geohash5, r_name AS province, n_name AS city,
 FROM cells c JOIN nation ON n_nationkey = first_seq % 25 JOIN region ON r_regionkey = n_regionkey
 WHERE first_seq % 2 = 0"""
 
+_ALL_PLACES = """SELECT c.geohash5, r_name AS province,
+       CASE WHEN first_seq % 5 NOT IN (1, 2) THEN n_name END AS city,
+       CASE WHEN first_seq % 7 <> 3 THEN concat('d', CAST(first_seq % 7 AS VARCHAR(20))) END AS district
+FROM cells c JOIN nation ON n_nationkey = first_seq % 25 JOIN region ON r_regionkey = n_regionkey"""
+
 _DICT = """SELECT DISTINCT type_id AS event_id, concat(event_type, '_v', substr(dt, 9, 2)) AS event_name,
        dt AS last_update
 FROM log"""
@@ -86,6 +91,7 @@ _VIEWS = {
     "log_geo": (("log",), _LOG_GEO),
     "cells": (("log_geo",), _CELLS),
     "places": (("cells",), _PLACES),
+    "all_places": (("cells",), _ALL_PLACES),
     "dict": (("log",), _DICT),
 }
 
@@ -112,6 +118,15 @@ FROM log WHERE seq % 11 <> 0 AND seq % 13 <> 0""",
     "parse_json_events": _with("log") + """SELECT seq, uid, time, route_type AS event_type,
        CASE WHEN seq % 17 = 0 THEN 0e0 ELSE lon END AS jd, lat AS wd
 FROM log WHERE seq % 11 <> 0 AND seq % 13 <> 0""",
+    "parse_csv_line_ends": _with("csv") + """, ended AS (
+  SELECT seq, string_split(regexp_replace(concat(line, CASE WHEN seq % 5 = 0 THEN chr(10) WHEN seq % 7 = 0 THEN chr(13)
+                                                            ELSE '' END), ',+$', ''), ',') AS f FROM csv)
+SELECT seq, f[1] AS uid, f[2] AS event_name, f[3] AS time, f[4] AS type_id, f[5] AS province, 1 AS cnt
+FROM ended WHERE len(f) >= 5""",
+    "parse_json_trailing": _with("log") + """SELECT seq, uid, time, route_type AS event_type,
+       CASE WHEN seq % 17 = 0 OR seq % 37 = 0 THEN 0e0 ELSE lon END AS jd, lat AS wd
+FROM log WHERE seq % 11 <> 0 AND seq % 13 <> 0
+  AND (seq % 5 = 0 OR (seq % 7 <> 0 AND seq % 19 <> 0 AND seq % 23 <> 0 AND seq % 29 <> 0 AND seq % 31 <> 0))""",
     "encode_json_events": _with("log") + """SELECT seq, concat('{"eventType":"', route_type, '","jd":',
        CAST(lon AS VARCHAR), ',"time":"', time, '","uid":"', uid, '","wd":', CAST(lat AS VARCHAR), '}') AS json
 FROM log""",
@@ -127,8 +142,8 @@ UNION ALL
 SELECT geohash5, r_name AS province, n_name AS city, 'd_new' AS district
 FROM miss JOIN nation ON n_nationkey = CAST(floor(lon + lat) AS BIGINT) % 25
 JOIN region ON r_regionkey = n_regionkey""",
-    "place_parse_response": _with("places") + "SELECT geohash5, province, city, district FROM places",
-    "place_dict_codec": _with("places") + "SELECT geohash5, province, city, district FROM places",
+    "place_parse_response": _with("all_places") + "SELECT geohash5, province, city, district FROM all_places",
+    "place_dict_codec": _with("all_places") + "SELECT geohash5, province, city, district FROM all_places",
     "event_name_lookup": _with("dict") + """SELECT seq, type_id, event_type_name
 FROM log LEFT JOIN (SELECT event_id, arg_max(event_name, last_update) AS event_type_name
                     FROM dict GROUP BY event_id) d ON type_id = event_id""",
@@ -138,6 +153,15 @@ FROM dict GROUP BY event_id""",
 FROM dict GROUP BY event_id""",
     "dict_incremental_poll": _with("dict") + """SELECT event_id, event_name, last_update
 FROM dict WHERE last_update > '2024-01-10'""",
+    "dict_after_polls": _with("dict") + """SELECT event_id, arg_max(event_name, last_update) AS event_name,
+       MAX(last_update) AS last_update
+FROM dict WHERE last_update > '2024-01-10' GROUP BY event_id""",
+    "running_count_unknown_type": _with("dict") + """, names AS (
+  SELECT event_id, arg_max(event_name, last_update) AS type_name FROM dict WHERE event_id <> '2' GROUP BY event_id),
+named AS (SELECT seq, l.event_name, type_name AS event_type, uid, dt FROM log l LEFT JOIN names ON type_id = event_id)
+SELECT seq, event_name, event_type, uid,
+       FIRST_VALUE(dt) OVER (PARTITION BY event_name, event_type, uid ORDER BY seq) AS first_dt,
+       ROW_NUMBER() OVER (PARTITION BY event_name, event_type, uid ORDER BY seq) AS cnt FROM named""",
     "running_user_count": _with("log") + """SELECT seq, event_name, event_type, uid,
        FIRST_VALUE(dt) OVER (PARTITION BY event_name, event_type, uid ORDER BY seq) AS first_dt,
        ROW_NUMBER() OVER (PARTITION BY event_name, event_type, uid ORDER BY seq) AS cnt FROM log""",
@@ -159,6 +183,13 @@ FROM log WHERE starts_with(route_type, 'flow') OR starts_with(route_type, 'aciti
        COUNT(*) AS n FROM log
 WHERE starts_with(route_type, 'flow') OR starts_with(route_type, 'acitiv') GROUP BY 1
 UNION ALL SELECT 'main' AS route, COUNT(*) AS n FROM log""",
+    "scoreboard_from_changes": _with("log") + """, w AS (
+  SELECT concat(event_name, '|', dt) AS board_key, event_type, uid AS value,
+         ROW_NUMBER() OVER (PARTITION BY event_name, dt, event_type ORDER BY seq * 7 % 3 DESC, seq DESC) AS rn FROM log)
+SELECT board_key, event_type, value FROM w WHERE rn = 1""",
+    "archive_compacted": """SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d--%H') AS bucket, COUNT(*) AS n,
+       MIN(event_id) AS first_seq, MAX(event_id) AS last_seq
+FROM events GROUP BY 1""",
     "archive_hourly": """SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d--%H') AS bucket, COUNT(*) AS n,
        MIN(event_id) AS first_seq, MAX(event_id) AS last_seq
 FROM events GROUP BY 1""",

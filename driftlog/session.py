@@ -28,6 +28,13 @@ BASE_CONF = {
 }
 
 
+# Settings of the streaming jobs: keyed state off the JVM heap.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def scale_conf(input_bytes: int, executor_cores: int, executors: int,
                target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle and split sizing for a given input volume and cluster.
@@ -71,7 +78,9 @@ def build_session(app: str = "driftlog", master: str | None = None,
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can see; honours ``spark.checkpoint.dir``.
 
-    Sets a checkpoint folder only where none is configured (local mode / tests).
+    Picks a folder of its own only in a local session without that setting;
+    on a cluster it raises, because a machine-local folder would be read back
+    incomplete.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -81,6 +90,8 @@ def shared_root(spark: SparkSession) -> str:
     if sc is not None:
         root = root or sc.getCheckpointDir()
         if not root:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             root = tempfile.mkdtemp(prefix="driftlog-ckpt-")
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(root)
@@ -97,3 +108,44 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         path = f"{path}/run-{uuid.uuid4().hex[:12]}"
     return path
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package has written, on whatever file system it is."""
+    files, p = _hadoop_path(spark, path)
+    files.delete(p, True)
+
+
+def numbered_folders(spark: SparkSession, root: str, key: str) -> list[int]:
+    """``N`` of every complete folder ``root/key=N`` (one with a ``_SUCCESS`` mark), ascending."""
+    files, p = _hadoop_path(spark, root)
+    if not files.exists(p):
+        return []
+    found = []
+    for status in files.listStatus(p):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{key}="):
+            mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            if files.exists(mark):
+                found.append(int(name[len(key) + 1:]))
+    return sorted(found)
+
+
+def publish_folder(spark: SparkSession, written: str, final: str) -> None:
+    """Give a complete folder its final name in one step."""
+    files, source = _hadoop_path(spark, written)
+    _, target = _hadoop_path(spark, final)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{written} could not become {final}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, p = _hadoop_path(spark, path)
+    files.mkdirs(p)

@@ -1,24 +1,24 @@
 """Event dictionary source: a database table polled by ``last_update``.
 
 ``jdbc_table`` returns a lazy DataFrame; filters on it (the poll bound) are
-pushed into the database query by Spark's JDBC source.  ``DictionaryPoller``
-keeps the high-water mark and stores it next to the streaming checkpoint,
-so a restarted job continues from the last bound instead of re-reading all.
+pushed into the database query by Spark's JDBC source.  ``IncrementalNames``
+keeps the resolved dictionary in versioned folders of the shared storage; the
+newest version holds the high-water mark too, so a restarted job goes on from
+the last bound instead of reading all again.
 """
 
 from __future__ import annotations
 
-import json
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftlog.operators.dictionary import incremental_poll
+from driftlog.session import delete_path, numbered_folders
 
 # First lower bounds of the two dictionary forms.
 FIRST_BOUND = "2000-09-02 17:09:59"
 FIRST_BOUND_EVENT_TABLE = "1999-09-01 22:36:30"
+FIRST_BOUNDS = {"dictionary": FIRST_BOUND, "event_table": FIRST_BOUND_EVENT_TABLE}
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
@@ -42,82 +42,62 @@ def jdbc_table(spark: SparkSession, opts: dict[str, str],
 
 
 class DictionaryPoller:
-    """Incremental reads of a dictionary table by a persisted ``last_update`` bound.
+    """Incremental reads of a dictionary table by a ``last_update`` bound, for one process.
 
     ``load`` is any zero-argument callable returning the dictionary
-    DataFrame (JDBC, Parquet, Delta ...).  ``state_path`` is a small JSON file
-    on a file system the driver can write (usually inside the job's
-    checkpoint folder); the bound is written only after a poll's rows have
-    been handed out.  ``inclusive`` mode compares with ``>=``: rows sharing the
-    bound's timestamp that commit late are not lost, and the rows re-read
-    with them are harmless because applying a dictionary row is an
-    idempotent upsert.
+    DataFrame (JDBC, Parquet, Delta ...).  ``inclusive`` mode compares with
+    ``>=``: rows sharing the bound's timestamp that commit late are not lost, and
+    the rows re-read with them are harmless because applying a dictionary row is
+    an idempotent upsert.  The bound that outlives the process is kept by
+    ``IncrementalNames``.
     """
 
-    def __init__(self, load, state_path: str | None = None, first_bound: str = FIRST_BOUND,
-                 inclusive: bool = False):
-        self.load = load
-        self.state_path = state_path
-        self.inclusive = inclusive
-        self.bound = first_bound
-        if state_path and os.path.exists(state_path):
-            with open(state_path) as f:
-                self.bound = json.load(f)["bound"]
-
-    def poll(self, commit: bool = True) -> DataFrame:
-        """Rows newer than the bound; advances the bound to their max ``last_update``.
-
-        With ``commit=False`` the new bound is only proposed (``self.pending``)
-        and stored by ``commit()`` once the rows have been safely written.
-        """
+    def __init__(self, load, first_bound: str = FIRST_BOUND, inclusive: bool = False):
+        self.load, self.inclusive, self.bound = load, inclusive, first_bound
+
+    def poll(self) -> DataFrame:
+        """Rows newer than the bound; advances the bound to their max ``last_update``."""
         rows = incremental_poll(self.load(), self.bound, inclusive=self.inclusive)
         # A single scalar comes back to the driver: the new high-water mark.
         top = rows.agg(F.max("last_update").alias("m")).first()["m"]
-        self.pending = top if top is not None and top > self.bound else None
-        if commit:
-            self.commit()
+        if top is not None and top > self.bound:
+            self.bound = top
         return rows
 
-    def commit(self) -> None:
-        if getattr(self, "pending", None) is None:
-            return
-        self.bound, self.pending = self.pending, None
-        if self.state_path:
-            os.makedirs(os.path.dirname(self.state_path) or ".", exist_ok=True)
-            tmp = self.state_path + ".tmp"
-            with open(tmp, "w") as f:
-                json.dump({"bound": self.bound}, f)
-            os.replace(tmp, self.state_path)
-
 
 class IncrementalNames:
     """Resolved event dictionary kept up to date by incremental polls.
 
-    Each ``refresh(version)`` polls only the rows past the bound (the filter
-    reaches the database), merges them with the stored table -- newest
-    ``last_update`` per id wins -- writes the merged table as
-    ``store/version=<version>`` and only then commits the bound, so a failure
-    between the two re-polls the same rows instead of losing them.  Use it
-    inside ``foreachBatch`` with the micro-batch id as version.
+    ``refresh(version)`` starts from the newest complete version before
+    ``version`` in ``store`` -- written by whichever process -- polls only the
+    rows past its bound (the filter reaches the database), merges them, newest
+    ``last_update`` per id winning, and writes ``store/version=<version>``.  Table
+    and bound are one thing: the bound is the table's greatest ``last_update``.
+    So a failure at any point re-polls the same rows, a replayed version is
+    rebuilt from the version before it, and a new process finds the last state.
+    Use it inside ``foreachBatch`` with the micro-batch id as version.  Only the
+    last ``keep`` versions stay.
     """
 
-    def __init__(self, spark: SparkSession, poller: DictionaryPoller, store: str):
-        self.spark, self.poller, self.store = spark, poller, store.rstrip("/")
-        self.current: str | None = None
+    def __init__(self, spark: SparkSession, load, store: str, first_bound: str = FIRST_BOUND,
+                 inclusive: bool = False, keep: int = 3):
+        self.spark, self.load, self.store = spark, load, store.rstrip("/")
+        self.first_bound, self.inclusive, self.keep = first_bound, inclusive, max(2, keep)
+
+    def _path(self, version: int) -> str:
+        return f"{self.store}/version={version}"
 
     def refresh(self, version: int) -> DataFrame:
-        from driftlog.operators.dictionary import latest_names
-
-        new = self.poller.poll(commit=False).select("event_id", "event_name", "last_update")
-        if self.poller.pending is None and self.current is not None:
-            return self.spark.read.parquet(self.current)
-        merged = new
-        if self.current is not None:
-            merged = self.spark.read.parquet(self.current).unionByName(new)
+        """``event_id, event_name, last_update``: the dictionary as of this version."""
+        done = [v for v in numbered_folders(self.spark, self.store, "version") if v < version]
+        held = self.spark.read.parquet(self._path(done[-1])) if done else None
+        bound = held.agg(F.max("last_update")).first()[0] if held is not None else None
+        new = incremental_poll(self.load(), bound, inclusive=self.inclusive, first_bound=self.first_bound)
+        new = new.select("event_id", "event_name", "last_update")
+        merged = new if held is None else held.unionByName(new)
         latest = merged.groupBy("event_id").agg(F.max_by("event_name", "last_update").alias("event_name"),
                                                 F.max("last_update").alias("last_update"))
-        path = f"{self.store}/version={version}"
-        latest.write.mode("overwrite").parquet(path)
-        self.current = path
-        self.poller.commit()
-        return self.spark.read.parquet(path)
+        latest.write.mode("overwrite").parquet(self._path(version))
+        for old in done[:-(self.keep - 1)]:
+            delete_path(self.spark, self._path(old))
+        return self.spark.read.parquet(self._path(version))

@@ -1,10 +1,10 @@
 """Protobuf log batches: ``LogBeans { repeated LogBean logBeans = 1; }``.
 
 Decoding flattens each batch into one row per ``LogBean``.  When the
-spark-protobuf package is on the classpath, ``native=True`` uses
-``from_protobuf`` (JVM, codegen) + ``explode``; otherwise the batches are
-parsed in Arrow-batched ``mapInPandas`` with one message class per task
-(the upb C parser does the per-message work).
+spark-protobuf package is on the classpath, ``from_protobuf`` (JVM, codegen)
++ ``explode`` is used; otherwise the batches are parsed in Arrow-batched
+``mapInPandas`` with one message class per task (the upb C parser does the
+per-message work), in frames of a bounded number of rows.
 """
 
 from __future__ import annotations
@@ -67,12 +67,26 @@ def message_classes():
 
 
 _NAMES = [f[0] for f in LOG_BEAN_FIELDS]
+
+#: Decoded rows handed on in one frame, whatever the number of rows in a payload.
+FRAME_ROWS = 50_000
+
+
+def native_available(spark) -> bool:
+    """Whether the JVM has spark-protobuf (then payloads are decoded without Python)."""
+    try:
+        loader = spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        loader.loadClass("org.apache.spark.sql.protobuf.ProtobufDataToCatalyst")
+        return True
+    except Exception:  # not on the classpath, or a session without a JVM gateway
+        return False
+
 _OUT_SCHEMA = ", ".join(f"{n} {k}" for n, _, k in LOG_BEAN_FIELDS)
 
 
 def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt: str = "error",
-                       native: bool = False, keep: tuple[str, ...] = (),
-                       item_col: str | None = None) -> DataFrame:
+                       native: bool | None = None, keep: tuple[str, ...] = (),
+                       item_col: str | None = None, frame_rows: int = FRAME_ROWS) -> DataFrame:
     """Binary ``LogBeans`` batches -> one row per ``LogBean`` (0..n per batch).
 
     ``keep`` columns of the batch row are repeated on each of its rows and
@@ -81,7 +95,10 @@ def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt:
     ``on_corrupt``: ``"error"`` fails the task on bytes that do not parse
     (the reference's behaviour), ``"drop"`` skips the whole batch.
     Unset strings decode as ``""`` and unset doubles as ``0.0`` (proto3).
+    ``native=None`` uses the JVM decoder wherever it is there.
     """
+    if native is None:
+        native = native_available(df.sparkSession)
     if on_corrupt not in ("error", "drop"):
         raise ValueError("on_corrupt must be 'error' or 'drop'")
     keep = tuple(keep)
@@ -102,6 +119,15 @@ def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt:
                               + list(LOG_BEAN.fields))
     out_names = [f.name for f in out_schema.fields]
 
+    def frame(pdf: pd.DataFrame, values: list, owners: list, items: list) -> pd.DataFrame:
+        out = pd.DataFrame.from_records(values, columns=_NAMES)
+        front = {c: pdf[c].to_numpy()[owners] for c in keep}
+        if item_col:
+            front[item_col] = items
+        if front:
+            out = pd.concat([pd.DataFrame(front), out], axis=1)
+        return out[out_names]
+
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from operator import attrgetter
 
@@ -123,18 +149,16 @@ def decode_log_batches(df: DataFrame, payload_col: str = "payload", on_corrupt:
                         raise
                     continue
                 beans = getattr(msg, BATCH_FIELD[0])
-                values.extend(map(fields, beans))
-                owners.extend([r] * len(beans))
-                items.extend(range(len(beans)))
-            if not values:
-                continue
-            out = pd.DataFrame.from_records(values, columns=_NAMES)
-            front = {c: pdf[c].to_numpy()[owners] for c in keep}
-            if item_col:
-                front[item_col] = items
-            if front:
-                out = pd.concat([pd.DataFrame(front), out], axis=1)
-            yield out[out_names]
+                for start in range(0, len(beans), frame_rows):
+                    part = beans[start:start + frame_rows]
+                    values.extend(map(fields, part))
+                    owners.extend([r] * len(part))
+                    items.extend(range(start, start + len(part)))
+                    if len(values) >= frame_rows:
+                        yield frame(pdf, values, owners, items)
+                        values, owners, items = [], [], []
+            if values:
+                yield frame(pdf, values, owners, items)
 
     return df.select(*keep, payload_col).mapInPandas(decode, out_schema)
 

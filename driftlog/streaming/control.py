@@ -64,7 +64,7 @@ def run_with_restarts(start: Callable[[], StreamingQuery], restart_count: int,
                       delay_ms: int = RESTART_DELAY_MS,
                       sleep: Callable[[float], None] = time.sleep,
                       until: Callable[[StreamingQuery], None] | None = None) -> int:
-    """Start a query; on failure wait ``delay_ms`` and start it again, at most
+    """Start a query; on failure (to start, too: a source may be away) wait ``delay_ms`` and start it again, at most
     ``restart_count`` times.  Returns the number of restarts used.
 
     ``until`` waits for the query (default ``awaitTermination``); tests pass
@@ -74,18 +74,20 @@ def run_with_restarts(start: Callable[[], StreamingQuery], restart_count: int,
         raise ValueError("restart_count must be a non-negative integer")
     restarts = 0
     while True:
-        q = start()
+        q = None
         try:
+            q = start()
             if until is None:
                 q.awaitTermination()
             else:
                 until(q)
             return restarts
         except Exception:
-            try:
-                q.stop()
-            except Exception:
-                pass
+            if q is not None:
+                try:
+                    q.stop()
+                except Exception:
+                    pass
             if restarts >= int(restart_count):
                 raise
             restarts += 1

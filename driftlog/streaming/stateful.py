@@ -4,8 +4,11 @@ The native aggregation in ``jobs.scoreboard_stream`` emits one update per
 key and micro-batch, which is enough for the scoreboard.  When every row's
 running value is wanted (the keyed running sum's own output), state per key
 is kept with ``applyInPandasWithState``: ``(count so far, first date)``.
-A group holds one key's rows of one micro-batch, so its size is bounded by
-the trigger size (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+
+Of a key's rows of a micro-batch only the order numbers are held together (to
+sort them); rows leave in frames of ``FRAME_ROWS``, so a hot key never stands in
+one frame.  The trigger bounds the numbers held (``maxOffsetsPerTrigger`` /
+``maxFilesPerTrigger``).
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from driftlog.operators.metrics import USER_KEY
 
+FRAME_ROWS = 100_000
+
 _STATE = T.StructType([T.StructField("cnt", T.LongType()), T.StructField("first_dt", T.StringType())])
 
 
@@ -41,21 +46,26 @@ def running_count_rows(df: DataFrame, keys: tuple[str, ...] = USER_KEY, seq: str
         if state.hasTimedOut:
             state.remove()
             return
-        frames = [b for b in batches if len(b)]
-        if not frames:
+        count, first = state.get if state.exists else (0, None)
+        orders, least = [], None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            orders.append(pdf[seq].to_numpy())
+            at = int(np.argmin(orders[-1]))
+            if not count and (least is None or orders[-1][at] < least):
+                least, first = orders[-1][at], pdf[dt].iloc[at]
+        if not orders:
             return
-        pdf = pd.concat(frames, ignore_index=True).sort_values(seq, kind="stable")
-        if state.exists:
-            count, first = state.get
-        else:
-            count, first = 0, pdf[dt].iloc[0]
-        n = len(pdf)
-        pdf["cnt"] = count + np.arange(1, n + 1, dtype="int64")
-        pdf["first_dt"] = first
-        state.update((int(count + n), first))
+        order = np.sort(np.concatenate(orders), kind="stable")
+        for start in range(0, len(order), FRAME_ROWS):
+            part = order[start:start + FRAME_ROWS]
+            n = count + start
+            yield pd.DataFrame({seq: part, **dict(zip(keys, key)), "first_dt": first,
+                                "cnt": np.arange(n + 1, n + len(part) + 1, dtype="int64")})[out_cols]
+        state.update((int(count + len(order)), first))
         if idle_timeout_ms:
             state.setTimeoutDuration(idle_timeout_ms)
-        yield pdf[out_cols]
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms else GroupStateTimeout.NoTimeout
     return (df.select(seq, *keys, dt).groupBy(*keys)

@@ -106,3 +106,18 @@ def test_json_round_trip_property(spark, rows):
                                      " province string, city string, area string")
     back = parse_json_events(encode_json_events(df).withColumnRenamed("json", "line"))
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_text_behind_the_object_is_corrupt(spark):
+    lines = ['{"uid":"a"}{"uid":"b"}', '{"uid":"a"} garbage', '{"uid":"a"}]', '{"uid":"a"}}', '{"uid":"a"},{"uid":"b"}',
+             '{"uid":"ok"} \n', ' {"uid":"ok2","jd":"","wd":"1.5"}', "", "null", "[1]"]
+    df = spark.createDataFrame(list(enumerate(lines)), "seq long, line string")
+    got = {r.seq: (r.uid, r.jd, r.wd) for r in parse_json_events(df).collect()}
+    assert got == {5: ("ok", 0.0, 0.0), 6: ("ok2", 0.0, 1.5)}
+
+
+def test_line_end_is_a_last_field(spark):
+    lines = ["u,e,t,1,\n", "u,e,t,1,\r", "u,e,t,1,", "u,e,t,1,p\n", "u,e,t,1,,,\n"]
+    df = spark.createDataFrame(list(enumerate(lines)), "seq long, line string")
+    got = {r.seq: r.province for r in parse_csv_events(df).collect()}
+    assert got == {0: "\n", 1: "\r", 3: "p\n", 4: ""}

@@ -39,19 +39,15 @@ def test_incremental_poll_strict_and_inclusive(spark):
     assert incremental_poll(d, None).count() == 4
 
 
-def test_poller_keeps_bound(spark, workdir):
-    state = os.path.join(workdir, "bound.json")
+def test_poller_advances_its_bound(spark):
     rows = list(DICT)
-    p = DictionaryPoller(lambda: _dict(spark, rows), state_path=state)
-    assert p.poll().count() == 4 and p.bound == "2024-01-03"
-    rows.append(("3", "buy", "2024-01-03"))      # same timestamp, arrives later: lost by '>'
-    rows.append(("2", "click_b", "2024-01-04"))
-    assert [r.event_name for r in p.poll().collect()] == ["click_b"]
-    assert json.load(open(state))["bound"] == "2024-01-04"
-    again = DictionaryPoller(lambda: _dict(spark, rows), state_path=state)
-    assert again.bound == "2024-01-04" and again.poll().count() == 0
-    incl = DictionaryPoller(lambda: _dict(spark, rows), first_bound="2024-01-03", inclusive=True)
-    assert {r.event_name for r in incl.poll().collect()} == {"view_b", "buy", "click_b"}
+    p = DictionaryPoller(lambda: _dict(spark, rows))
+    assert p.poll().count() == len(DICT)
+    top = max(r[2] for r in DICT)
+    assert p.bound == top and p.poll().count() == 0
+    rows.append(("9", "late", top))
+    assert DictionaryPoller(lambda: _dict(spark, rows), first_bound=top, inclusive=True).poll().count() >= 1
+    assert DictionaryPoller(lambda: _dict(spark, rows), first_bound=top).poll().count() == 0
 
 
 def test_lookup_missing_policies(spark):
@@ -62,8 +58,12 @@ def test_lookup_missing_policies(spark):
     assert lookup_event_names(facts, names, on_missing="drop").count() == 1
     with pytest.raises(PySparkException):
         lookup_event_names(facts, names, on_missing="error").collect()
-    # Above the broadcast bound the same result comes from a shuffle join.
-    big = lookup_event_names(facts, names, max_broadcast_rows=0).collect()
+    # Beyond the broadcast bytes the same result comes from a shuffle join.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = lookup_event_names(facts, names).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {r.seq: r.event_type_name for r in big} == got
 
 
@@ -75,11 +75,19 @@ def test_jdbc_options_carry_no_defaults():
 def test_incremental_names_merge_polls(spark, workdir):
     from driftlog.sources.dictionary import IncrementalNames
     rows = list(DICT)
-    inc = IncrementalNames(spark, DictionaryPoller(lambda: _dict(spark, rows)), os.path.join(workdir, "names"))
+    inc = IncrementalNames(spark, lambda: _dict(spark, rows), os.path.join(workdir, "names"))
     v0 = {r.event_id: r.event_name for r in inc.refresh(0).collect()}
     assert v0 == {"1": "view_b", "2": "click_a"}
     rows += [("2", "click_b", "2024-01-05"), ("3", "buy", "2024-01-06")]
     v1 = {r.event_id: r.event_name for r in inc.refresh(1).collect()}
     assert v1 == {"1": "view_b", "2": "click_b", "3": "buy"}
-    assert inc.poller.bound == "2024-01-06"
     assert {r.event_id: r.event_name for r in inc.refresh(2).collect()} == v1
+    # A new process finds the last version and polls past its bound only.
+    again = IncrementalNames(spark, lambda: _dict(spark, [("1", "view_c", "2024-02-01"), ("3", "old", "2024-01-02")]),
+                             os.path.join(workdir, "names"))
+    v3 = {r.event_id: r.event_name for r in again.refresh(3).collect()}
+    assert v3 == {"1": "view_c", "2": "click_b", "3": "buy"}
+    # A version that is written again starts from the one before it.
+    assert {r.event_id: r.event_name for r in again.refresh(3).collect()} == v3
+    # Only the last versions stay.
+    assert sorted(d for d in os.listdir(os.path.join(workdir, "names"))) == ["version=1", "version=2", "version=3"]

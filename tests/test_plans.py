@@ -46,9 +46,18 @@ def test_above_bound_is_shuffle_join_and_same_result(spark):
     facts = derived.log_geo(spark, SF_SMALL).select("seq", "geohash5")
     pl = derived.places(spark, SF_SMALL)
     small = places.enrich_places(facts, pl)
-    big = places.enrich_places(facts, pl, max_broadcast_rows=0)
-    # above the bound no broadcast hint is added; the planner's own size estimate decides
-    assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, big.collect()), key=repr)
+    want = sorted(map(tuple, small.collect()), key=repr)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        big = places.enrich_places(facts, pl)
+        assert "SortMergeJoin" in plan_text(big)
+        assert sorted(map(tuple, big.collect()), key=repr) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_row_window_is_bounded_by_blocks(spark):
@@ -71,6 +80,40 @@ def test_hot_key_third_of_rows(spark):
     board = {(r.board_key, r.event_type): r.value for r in metrics.activity_scoreboard(df).collect()}
     assert len(board) >= 1
     names = spark.createDataFrame([("view", "View")], "event_id string, event_name string")
-    named = dictionary.lookup_event_names(df.withColumnRenamed("event_type", "type_id"), names,
-                                          max_broadcast_rows=0)
+    named = dictionary.lookup_event_names(df.withColumnRenamed("event_type", "type_id"), names)
     assert named.where(F.col("event_type_name") == "View").count() == 3000
+
+
+def _sort_aggregate_over_scan(df) -> bool:
+    """Whether a sort-based aggregation stands over a scan without another exchange between."""
+    df.count()
+    tree = df._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in tree.split("== Initial Plan ==")[-1].splitlines() if x.strip()]
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    for i, x in enumerate(lines):
+        if "SortAggregate" in x:
+            for j in range(i + 1, len(lines)):
+                if depth[j] <= depth[i] or "Exchange" in lines[j]:
+                    break
+                if "Scan parquet" in lines[j]:
+                    return True
+    return False
+
+
+def test_facts_meet_hash_aggregation(spark):
+    for key in ("activity_scoreboard", "activity_count_job", "running_user_count", "kv_latest", "enrich_job"):
+        assert not _sort_aggregate_over_scan(catalog.QUERIES[key](spark, SF_SMALL)), key
+
+
+def test_lookups_are_lazy(spark):
+    """Building a lookup starts no job but those that read table schemas."""
+    tracker = spark.sparkContext.statusTracker()
+    group = "lazy-lookups"
+    tables = derived.log_geo(spark, SF_SMALL), derived.places(spark, SF_SMALL), derived.dictionary(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup(group, "building")
+    try:
+        places.enrich_places(tables[0].select("seq", "geohash5"), tables[1])
+        dictionary.lookup_event_names(tables[0], dictionary.latest_names(tables[2]))
+        assert not tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -58,3 +58,24 @@ def test_round_trip(spark, rows, per_batch):
     norm = sorted(tuple(0.0 if isinstance(v, float) and v == 0 else v for v in r) for r in back.collect())
     want = sorted(tuple(0.0 if isinstance(v, float) and v == 0 else v for v in r) for r in rows)
     assert norm == want
+
+
+def test_golden_message_with_all_fields(spark):
+    """Bytes written out by hand: tags 1 to 6 are texts, 7 and 8 little-endian doubles."""
+    import struct
+    texts = b"".join(bytes([n << 3 | 2, 1]) + c for n, c in zip(range(1, 7), (b"u", b"2", b"n", b"p", b"c", b"d")))
+    bean = texts + b"\x39" + struct.pack("<d", 1.5) + b"\x41" + struct.pack("<d", -2.0)
+    r = decode_log_batches(_payloads(spark, [b"\x0a" + bytes([len(bean)]) + bean])).collect()
+    assert [tuple(x) for x in r] == [("u", "2", "n", "p", "c", "d", 1.5, -2.0)]
+
+
+def test_frames_are_bounded_and_complete(spark):
+    from driftlog.sources.protobuf import native_available
+    beans, _ = message_classes()
+    m = beans()
+    for i in range(25):
+        m.logBeans.add().uid = f"u{i}"
+    df = _payloads(spark, [m.SerializeToString(), b"", m.SerializeToString()])
+    got = decode_log_batches(df, native=False, item_col="item", frame_rows=4).collect()
+    assert sorted((r.uid, r.item) for r in got) == sorted(2 * [(f"u{i}", i) for i in range(25)])
+    assert native_available(spark) in (True, False)

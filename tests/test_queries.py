@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from driftlog.plans.catalog import QUERIES
+from driftlog.plans.oracle import ORACLE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -38,14 +40,15 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(entry.oracle_sql()[key])
+    res = duck.execute(ORACLE[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
@@ -62,9 +65,9 @@ def test_entry_smoke(spark):
 DUCK_TO_SPARK = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BLOB": "binary"}
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_types_match_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF_SMALL)
-    described = duck.execute(f"DESCRIBE {entry.oracle_sql()[key]}").fetchall()
+    df = QUERIES[key](spark, SF_SMALL)
+    described = duck.execute(f"DESCRIBE {ORACLE[key]}").fetchall()
     oracle_types = {c[0]: DUCK_TO_SPARK.get(c[1], c[1]) for c in described}
     assert dict(df.dtypes) == oracle_types

@@ -24,7 +24,7 @@ def test_archive_folders_round_trip(spark, workdir):
                                 (2, "2024-01-01 16:00:00", "c")], "seq long, t string, line string") \
         .withColumn("ts", F.to_timestamp("t"))
     path = os.path.join(workdir, "arch")
-    write_archive(with_archive_bucket(df, clock="ts"), path, order_col="seq", max_records_per_file=1)
+    write_archive(with_archive_bucket(df, clock="ts"), path, max_records_per_file=1)
     folders = sorted(d for d in os.listdir(path) if d.startswith("bucket="))
     assert folders == ["bucket=2024-01-01--23", "bucket=2024-01-02--00", "bucket=2024-01-02--01"]
     back = {(r.bucket, r.value) for r in read_archive(spark, path).collect()}
