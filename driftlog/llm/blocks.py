@@ -70,7 +70,7 @@ def bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
 class WordHashes(dict):
     """XXH64 of words, remembered; emptied when it has grown too large."""
 
-    LIMIT = 1_500_000
+    LIMIT = 500_000
 
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
@@ -137,8 +137,16 @@ def send(blocks: DataFrame, folder: str, make: Callable[[str, bytes], Iterator[t
                 for bucket, payload in make(block, read_file(f"{folder}/{block}")):
                     yield pa.RecordBatch.from_pydict({"bucket": [bucket], "block": [block], "payload": [payload]})
 
-    tasks = min(max(1, blocks.count()), 100_000)
-    return blocks.select("block").repartition(tasks).mapInArrow(run, UP)
+    return blocks.select("block").repartition(task_count(blocks)).mapInArrow(run, UP)
+
+
+def task_count(blocks: DataFrame) -> int:
+    """A task for each block, as far as a scheduler takes them.
+
+    The work of a block is not in the bytes of its rows, so Spark must not join
+    small partitions of them.
+    """
+    return min(max(1, blocks.count()), 100_000)
 
 
 def answer(sent: DataFrame, merge: Callable, name: str = "replies") -> DataFrame:
@@ -165,10 +173,10 @@ def figures_of(replies: DataFrame, count: int) -> list[float]:
     return [float(x) for x in row]
 
 
-def each_block(replies: DataFrame, folder: str, work: Callable, schema: str) -> DataFrame:
-    """``work(block, its bytes, {bucket: reply})`` for each block; gives the rows of a frame."""
+def each_block(replies: DataFrame, folder: str, tasks: int, work: Callable, schema: str) -> DataFrame:
+    """``work(block, its bytes, {bucket: reply})`` for each block, in ``tasks`` tasks; gives the rows of a frame."""
     def run(frame):
         block = frame["block"].iloc[0]
         return work(block, read_file(f"{folder}/{block}"), dict(zip(frame["bucket"].tolist(), frame["reply"].tolist())))
 
-    return replies.select("block", "bucket", "reply").groupBy("block").applyInPandas(run, schema)
+    return replies.select("block", "bucket", "reply").repartition(tasks, "block").groupBy("block").applyInPandas(run, schema)

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlog.llm.blocks import (UP, WordHashes, answer, bucket_count, bucket_edges, each_block, mixed, pack, send, unpack,
+from driftlog.llm.blocks import (UP, WordHashes, answer, bucket_count, bucket_edges, each_block, mixed, pack, send, task_count, unpack,
                                  write_blocks)
 from driftlog.llm.common import new_folder, staged, table
 
@@ -35,6 +35,7 @@ GRAM = 8
 _HASHES = WordHashes()
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 LEAST_ID = -(1 << 63)
+BLOCK_BYTES = 8 << 20
 
 
 def _encode(ids: list, texts: list[bytes], rest: list) -> tuple[bytes, int]:
@@ -73,8 +74,13 @@ class _Block:
         grams = _rolled(h, GRAM)
         span = width - GRAM + 1
         if len(self.starts):
-            least = np.lib.stride_tricks.sliding_window_view(grams, span).argmin(axis=1)
-            named = self.starts + least[self.starts]
+            n = len(grams) - span + 1
+            least, place = grams[:n].copy(), np.zeros(n, np.uint8)
+            for j in range(1, span):
+                smaller = grams[j:j + n] < least
+                place[smaller] = j
+                np.minimum(least, grams[j:j + n], out=least)
+            named = self.starts + place[self.starts]
         else:
             named = self.starts
         places, self.place_of = np.unique(named, return_inverse=True)
@@ -169,7 +175,8 @@ def parse(docs: DataFrame, make, schema: str, id_col: str = "doc_id", text_col:
           **block_options) -> DataFrame:
     """Parse all documents; ``make(block, factors, covered words)`` gives the rows of each block."""
     folder = new_folder(docs.sparkSession, "reference-blocks")
-    blocks = write_blocks(docs, folder, _encode, id_col, text_col, **block_options)
+    blocks = write_blocks(docs, folder, _encode, id_col, text_col, **{"block_bytes": BLOCK_BYTES, **block_options})
+    tasks = task_count(blocks)
     words = blocks.agg(F.coalesce(F.sum("n_keys"), F.lit(0))).first()[0]
     buckets = bucket_count(words // 4)
 
@@ -196,10 +203,10 @@ def parse(docs: DataFrame, make, schema: str, id_col: str = "doc_id", text_col:
         return make(block, factors, _covered(block, factors[0], factors[1]))
 
     known = answer(send(blocks, folder, runs), _repeated_runs)
-    asked = staged(each_block(known, folder, windows, UP), "windows")
+    asked = staged(each_block(known, folder, tasks, windows, UP), "windows")
     flags = asked.where("bucket < 0").select("block", "bucket", F.col("payload").alias("reply"))
     found = answer(asked.where("bucket >= 0"), _earliest)
-    return each_block(found.select("block", "bucket", "reply").unionByName(flags), folder, finish, schema)
+    return each_block(found.select("block", "bucket", "reply").unionByName(flags), folder, tasks, finish, schema)
 
 
 def _frame_of(block: _Block, **columns):
