@@ -151,3 +151,36 @@ def test_documents_keep_their_columns(spark, odd_docs, no_docs):
     assert 2 not in rows and 8 not in rows  # nothing of them is left
     assert rows[4].text == "" and rows[5].text == "" and rows[7].text == "one"
     assert lines.without_repeated_lines(no_docs).count() == 0 and lines.dedup_lines(no_docs).count() == 0
+
+
+def changed_lines(length, changes, n=60):
+    """Pairs of lines with so many words replaced, as a text per line, and those whose edit similarity is 0.8 or more."""
+    rnd = random.Random(100 * length + changes)
+    rows, near = [], 0
+    for k in range(n):
+        w = words(rnd, length, 3000)
+        v = list(w)
+        for at in rnd.sample(range(length), changes):
+            v[at] = f"w{rnd.randrange(3000)}x"
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+        near += lines.similar(rows[-1][1], rows[-2][1])
+    return rows, near
+
+
+def test_recall_against_edit_similarity_alone(spark):
+    """No radius in the brute force: short and long lines with a few words replaced."""
+    rows, near = [], 0
+    for length, changes in ((10, 1), (12, 1), (20, 1), (20, 2), (40, 2), (60, 6)):
+        some, count = changed_lines(length, changes)
+        rows += [(len(rows) + k, text) for k, (_, text) in enumerate(some)]
+        near += count
+    # one template of many lines, and short lines that differ in one character
+    rnd = random.Random(13)
+    base = words(rnd, 14)
+    rows += [(10_000 + k, " ".join([*base[:6], f"v{k}y", *base[7:]])) for k in range(150)]
+    near += 149
+    rows += [(20_000, "abcdefgh ijk"), (20_001, "abcdefgx ijk")]
+    near += 1
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    removed = sum(r.n_removed for r in lines.dedup_lines(frame, block_bytes=5000).collect())
+    assert near > 400 and 0.99 * near <= removed <= near
