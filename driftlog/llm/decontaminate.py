@@ -1,15 +1,15 @@
 """Benchmark decontamination with item-sized SimHash windows (DataFrame functions only).
 
 A document's windows are as long as a benchmark item.  Windows and items of one
-length are compared: their SimHash fingerprints are cut into ``radius + 1``
-blocks, so that two fingerprints within the radius agree in one block at least;
-pairs that share a block are verified by the complete Hamming distance and then
+length are compared if they share one of so many of the window's shingles that a
+pair that reaches the similarity cannot miss them all; such pairs are verified
 by the exact weighted similarity of their word shingles (each weighted by how
-often it occurs).
+often it occurs).  No SimHash distance bounds that similarity for certain, so the
+fingerprints are compared only if a caller asks for a radius below all 64 bits.
 
 Two windows of ``n`` shingles reach a similarity of 0.8 only if they share
 ``8 n / 9`` of them, so only windows with that many shingles of some item of
-their length are fingerprinted; this loses no pair.
+their length are looked at; this loses no pair.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from driftlog.llm.common import let, staged, table
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-RADIUS = 15
 BITS = 64
+#: All bits: no pair is lost.
+RADIUS = BITS
 #: Benchmark shingles (16 bytes each) are broadcast up to this many rows, else joined by a shuffle.
 BROADCAST_SHINGLES = 250_000
 
@@ -52,12 +53,6 @@ def simhash(hashes: Column) -> Column:
                        lambda fp, bit: fp.bitwiseOR(votes(bit)))
 
 
-def _blocks(fp: Column, count: int) -> Column:
-    edges = [BITS * k // count for k in range(count + 1)]
-    return F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("part"))
-                     for k, (a, b) in enumerate(zip(edges, edges[1:]))])
-
-
 def _shared(a: Column, b: Column) -> Column:
     """Size of the intersection of two arrays as multisets."""
     times = lambda x, items: F.size(F.filter(items, lambda y: y == x))
@@ -133,15 +128,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                .select("key", "size", "n", "start", F.slice("s", F.col("start") + 1, F.col("m")).alias("s"))
                .withColumn("same", F.xxhash64("s")))
     windows = staged(windows, "windows")
-    # 3. equal windows are fingerprinted once, and meet the items of their size
+    # 3. equal windows are taken once, and meet the items of their size
     own = windows.select("size", "n", "same", "s").dropDuplicates(["size", "same"])
-    own = staged(own.select("size", "n", "same", "s", let(F.col("s"), simhash).alias("fp")), "fingerprints")
-    blocks = radius + 1
-    left = own.select("size", "same", F.col("fp").alias("f"), F.inline(_blocks(F.col("fp"), blocks)))
-    right = items.select("size", "item_id", F.col("fp").alias("g"), F.inline(_blocks(F.col("fp"), blocks)))
-    near = (left.join(right, ["size", "block", "part"])
-            .where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
-            .select("size", "same", "item_id").distinct())
+    fp = let(F.col("s"), simhash) if radius < BITS else F.lit(0).cast("long")
+    own = staged(own.select("size", "n", "same", "s", fp.alias("fp")), "fingerprints")
+    held = F.size("s")
+    some = F.slice("s", F.lit(1), held - _needed(F.col("n"), held, similarity) + 1)  # the others are too few
+    left = own.where(held >= _needed(F.col("n"), held, similarity)).select(
+        "size", "same", F.col("fp").alias("f"), F.explode(F.array_distinct(some)).alias("h"))
+    right = items.select("size", "item_id", F.col("fp").alias("g"), F.explode(F.array_distinct("s")).alias("h"))
+    near = left.join(right, ["size", "h"])
+    if radius < BITS:
+        near = near.where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
+    near = near.select("size", "same", "item_id").distinct()
     both = (near.join(own.select("size", "same", "s"), ["size", "same"])
             .join(items.select("item_id", "size", F.col("s").alias("t")), ["item_id", "size"]))
     shared = both.select("size", "same", "item_id", (F.size("s") + F.size("t")).alias("all"), _shared(F.col("t"), F.col("s")).alias("i"))

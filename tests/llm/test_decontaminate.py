@@ -95,3 +95,22 @@ def test_empty_tables(spark, no_docs, odd_docs):
     assert d.contaminated(no_docs, some).count() == 0
     assert d.contaminated(odd_docs, none).count() == 0 and d.contaminated(odd_docs, some).count() == 0
     assert d.without_contaminated(odd_docs, none).count() == len(odd_rows())
+
+
+def test_default_radius_loses_no_pair(spark):
+    """Items with one word replaced in the middle: similarity 0.8 or little more, every one found as it stands."""
+    rnd = random.Random(21)
+    docs, items = [], []
+    for j in range(400):
+        w = words(rnd, rnd.choice([49, 50, 55]), 5000)
+        items.append((j, " ".join(w)))
+        w[len(w) // 2] = "edited"
+        docs.append((j, " ".join(words(rnd, 3, 5000) + w)))
+    benchmark = spark.createDataFrame([(*x, "k", 1, "s") for x in items], ITEM)
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9)
+           for r in d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()}
+    want = {}
+    for (i, text), (_, item) in zip(docs, items):
+        w, t = text.split(), item.split()
+        want[i, i] = round(max(similarity(grams(w[s:s + len(t)], 5), grams(t, 5)) for s in range(len(w) - len(t) + 1)), 9)
+    assert got == want and min(want.values()) < 0.81
