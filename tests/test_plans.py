@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from cases import SF_SMALL
 from driftlog.operators import dictionary, metrics, places
 from driftlog.operators.decode import parse_json_events
 from driftlog.plans import catalog, derived

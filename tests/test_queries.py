@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from cases import SF_SMALL
 from driftlog.plans.catalog import QUERIES
 from driftlog.plans.oracle import ORACLE
 

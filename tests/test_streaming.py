@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from cases import SF_SMALL
 from driftlog.operators import dictionary, places, route, sinks
 from driftlog.plans import derived
 from driftlog.plans.flagship import scoreboard_from_lines
