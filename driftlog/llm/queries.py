@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from driftlog.llm.decontaminate import ORACLE_OP6, op6_benchmark_decontamination
 from driftlog.llm.extendible_sharding import op4_extendible_sharding, oracle_op4
+from driftlog.llm.hard_negatives import ORACLE_OP13, op13_hard_negatives
 from driftlog.llm.line_dedup import op2_line_dedup
 from driftlog.llm.packing import op7_kk_packing
 from driftlog.llm.pitman_yor import op1_pitman_yor
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_repair_ids": op9_repair_ids,
     "op10_relative_lz": op10_relative_lz,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -32,4 +34,5 @@ ORACLE: dict[str, str] = {
     "op5_quality_ledger": ORACLE_OP5,
     "op6_benchmark_decontamination": ORACLE_OP6,
     "op10_relative_lz": ORACLE_OP10,
+    "op13_hard_negatives": ORACLE_OP13,
 }
