@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from driftlog.llm.collocations import ORACLE_OP11, op11_phrase_collocations
 from driftlog.llm.decontaminate import ORACLE_OP6, op6_benchmark_decontamination
 from driftlog.llm.extendible_sharding import op4_extendible_sharding, oracle_op4
 from driftlog.llm.hard_negatives import ORACLE_OP13, op13_hard_negatives
@@ -11,6 +12,7 @@ from driftlog.llm.pitman_yor import op1_pitman_yor
 from driftlog.llm.quality_ledger import ORACLE_OP5, op5_quality_ledger
 from driftlog.llm.relative_lz import ORACLE_OP10, op10_relative_lz
 from driftlog.llm.repair_ids import op9_repair_ids
+from driftlog.llm.secret_scan import op12_secret_scan
 from driftlog.llm.simhash_dedup import op8_simhash_dedup
 from driftlog.llm.warc_normalise import ORACLE_OP3, op3_warc_normalise
 
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_repair_ids": op9_repair_ids,
     "op10_relative_lz": op10_relative_lz,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_secret_scan": op12_secret_scan,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -34,5 +38,6 @@ ORACLE: dict[str, str] = {
     "op5_quality_ledger": ORACLE_OP5,
     "op6_benchmark_decontamination": ORACLE_OP6,
     "op10_relative_lz": ORACLE_OP10,
+    "op11_phrase_collocations": ORACLE_OP11,
     "op13_hard_negatives": ORACLE_OP13,
 }

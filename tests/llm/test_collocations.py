@@ -1,0 +1,103 @@
+"""Collocations against brute force, with filters and exchanges of every size."""
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_cases import SCHEMA, odd_rows
+
+from driftlog.llm.collocations import collocations, frequent_phrases
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def slow_counts(rows, longest=5):
+    counts, total = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(LOWER)):
+            words = [w for w in re.split("[ \t]+", piece) if w]
+            total[lang] += len(words)
+            for k in range(1, longest + 1):
+                for i in range(len(words) - k + 1):
+                    counts[lang, tuple(words[i:i + k])] += 1
+    return counts, total
+
+
+def slow(rows, least, top):
+    counts, total = slow_counts(rows)
+    often = {p: a for p, a in counts.items() if a >= least and len(p[1]) > 1}
+    out = {}
+    for (lang, w), a in often.items():
+        if any(l2 == lang and len(v) > len(w) and b >= a and any(v[i:i + len(w)] == w for i in range(len(v))) for (l2, v), b in often.items()):
+            continue
+        n = total[lang]
+        cuts = [(1000 * a * n // (counts[lang, w[:j]] * counts[lang, w[j:]]), j) for j in range(1, len(w))]
+        score, j = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), counts[lang, w[:j]], counts[lang, w[j:]], n))
+    return sorted((lang, k, p.decode(), -a, l, r, n, -s) for lang, x in out.items()
+                  for k, (s, a, p, l, r, n) in enumerate(sorted(x)[:top], 1))
+
+
+def corpus(n=300, seed=5):
+    rnd = random.Random(seed)
+    names = ["new york", "a b c d e", "machine learning model", "Ünïted Nations", "x y x y x"]
+    rows = []
+    for _ in range(n):
+        parts = [rnd.choice(names) if rnd.random() < 0.3 else f"w{int(rnd.paretovariate(0.8)) % 60}" for _ in range(30)]
+        rows.append((rnd.choice([" ", "  ", "\t", ". ", ",", " "]).join(parts), rnd.choice(["en", "en", "de", None, "und", ""])))
+    return rows
+
+
+def mine(spark, rows, least=10, top=40, **options):
+    df = spark.createDataFrame([(i, t, l, 1, 2) for i, (t, l) in enumerate(rows)], "doc_id long, text string, lang string, k int, a int")
+    found = collocations(df.repartition(3), min_count=least, top=top, **options)
+    assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(map(tuple, found.collect()))
+
+
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 3000, "bucket_keys": 500, "fan": 1}, {"filter_bytes": 64 * 8}])
+def test_brute_force(spark, options):
+    rows = corpus()
+    assert mine(spark, rows, **options) == slow(rows, 10, 40)
+
+
+def test_border_failures_lead_to_an_expansion_pass(spark):
+    """A sample of next to nothing, or a threshold that proposes nothing: every phrase is found all the same."""
+    rows = corpus(200)
+    want = {(lang, " ".join(w), a) for (lang, w), a in slow_counts(rows)[0].items() if a >= 8}
+    df = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate(rows)], "doc_id long, text string, lang string")
+    for options in ({"sample": 100_000}, {"lowered": 50.0}, {"sample": 1, "lowered": 1.0}):
+        passes = []
+        found, totals = frequent_phrases(df, min_count=8, passes=passes, **options)
+        assert {(r.lang, r.phrase, r.a) for r in found.collect()} == want
+        assert {r.lang: r.n for r in totals.collect()} == dict(slow_counts(rows)[1])
+        assert (len(passes) == 2 and min(passes) > 0) if options.get("sample") != 1 else passes == [0]  # nothing to miss
+
+
+def test_hot_and_long(spark):
+    """One phrase in every document, one very long text, one very long word, copies by the hundred."""
+    rnd = random.Random(1)
+    rows = [("hot phrase here " + " ".join(f"v{rnd.randrange(300)}" for _ in range(20)), "en") for _ in range(200)]
+    rows += [(" ".join(f"v{rnd.randrange(50)}" for _ in range(20_000)), "en"), ("y" * 50_000 + " " + "y" * 50_000, "en")]
+    rows += [("this very copy again", "fr")] * 150
+    assert mine(spark, rows, least=100, block_bytes=20_000) == slow(rows, 100, 40)
+
+
+def test_odd_rows(spark):
+    rows = odd_rows()
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "block AS lang")
+    found = collocations(df.repartition(2), min_count=3, top=30)
+    assert sorted(map(tuple, found.collect())) == slow([(r[1], r[2]) for r in rows], 3, 30)
+    assert collocations(df.where("false")).collect() == []
+    assert collocations(df.where("doc_id IN (4, 5, 6)")).collect() == []
+
+
+def test_products_beyond_64_bits(spark):
+    """The score's arithmetic, on counts as large as a corpus of 100 TB has."""
+    from pyspark.sql import functions as F
+    a, n, l, r = 10**11 + 7, 3 * 10**13 + 1, 2 * 10**11 + 9, 10**12 + 3
+    whole = "decimal(19,0)"
+    got = spark.range(1).select(F.expr(f"(cast({a} AS {whole}) * cast({n} AS {whole}) * 1000BD) div (cast({l} AS {whole}) * cast({r} AS {whole}))")).first()[0]
+    assert got == 1000 * a * n // (l * r)
