@@ -58,6 +58,10 @@ def parse_csv_events(df: DataFrame, line_col: str = "line", on_corrupt: str = "d
     return staged.select(*keep, *fields, F.lit(1).alias("cnt"), *extra)
 
 
+#: Field of the end mark behind a line.
+LINE_END = "_end_of_line"
+
+
 def parse_json_events(df: DataFrame, line_col: str = "line", on_corrupt: str = "drop",
                       keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """JSON log lines -> ``uid, time, event_type, jd, wd, province, city, area``.
@@ -67,13 +71,15 @@ def parse_json_events(df: DataFrame, line_col: str = "line", on_corrupt: str = "
     Missing coordinates, and coordinates given as empty text, become 0.0
     (primitive defaults).  Empty, null, non-object and unparseable lines are
     corrupt, and so is a line with anything but blanks after its object: a
-    parser stops at the end of the first object, so the line is parsed inside
-    ``[{"v": line}]``, where whatever follows the object breaks the array.
+    parser stops at the end of the first object, so the line is parsed as the first
+    of the two elements of ``[line, <end mark>]``.  Whatever follows the object
+    breaks the array or moves or hides the end mark.
     """
-    wrapped = T.ArrayType(T.StructType([T.StructField("v", JSON_TEXT)]))
-    parsed = F.from_json(F.concat(F.lit('[{"v":'), F.col(line_col), F.lit("}]")), wrapped)
+    marked = T.ArrayType(T.StructType([*JSON_TEXT.fields, T.StructField(LINE_END, T.IntegerType())]))
+    parsed = F.from_json(F.concat(F.lit("["), F.col(line_col), F.lit(f',{{"{LINE_END}":1}}]')), marked)
     staged = _evaluate_once(df, keep, parsed, "_a")
-    staged = staged.select(*keep, F.when(F.size("_a") == 1, F.get("_a", F.lit(0))["v"]).alias("_j"))
+    whole = (F.size("_a") == 2) & (F.get("_a", F.lit(1))[LINE_END] == 1)
+    staged = staged.select(*keep, F.when(whole, F.get("_a", F.lit(0))).alias("_j"))
     j = F.col("_j")
     jd_num = F.expr("try_cast(_j.jd AS DOUBLE)")
     wd_num = F.expr("try_cast(_j.wd AS DOUBLE)")

@@ -137,10 +137,18 @@ def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], value: str,
                    order: str | tuple[str, ...], out_col: str = "value") -> DataFrame:
     """Keyed upsert table: per key, the value of the last write by ``order`` (one or more columns).
 
-    Writes are reduced per key and value first, by the greatest last order
-    column (a hash aggregation if it is a number).
+    Of several writes that are last by ``order`` the greatest value counts; a key
+    may be null, and so may a value or an order (before all others).  The greatest
+    order of a key is a number, so facts meet a hash aggregation and one row per
+    key is shuffled, whatever the values are; the facts are then joined with those
+    few.  With several order columns writes are first reduced per key, leading
+    columns and value.
     """
-    first, last = (order[:-1], order[-1]) if isinstance(order, tuple) else ((), order)
+    if not isinstance(order, tuple):
+        last = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max(order).alias("_last"))
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col(order).eqNullSafe(F.col("_last"))]
+        return df.join(last, reduce(and_, same), "left_semi").groupBy(*keys).agg(F.max(value).alias(out_col))
+    first, last = order[:-1], order[-1]
     per_value = df.groupBy(*keys, *first, F.col(value).alias("_value")).agg(F.max(last).alias("_last"))
     by = F.struct(*first, "_last") if first else F.col("_last")
     return per_value.groupBy(*keys).agg(F.max_by("_value", by).alias(out_col))

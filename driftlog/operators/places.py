@@ -91,6 +91,9 @@ def enrich_with_fill(facts: DataFrame, places: DataFrame, resolver: Resolver, se
                      lat: str = "lat", lon: str = "lon") -> tuple[DataFrame, DataFrame]:
     """Cache-aside enrichment: returns (enriched facts, grown dictionary).
 
+    Facts are read twice, for their new cells and for the join; stage them first if
+    they cost more to derive (parsed text, decoded batches) than to write.
+
     The new entries are written to the shared folder once and read back, so
     the resolver is called once per cell however often the results are read,
     and rows and dictionary agree.

@@ -9,18 +9,23 @@ arrival order so that readers can drop the repeats.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftlog.functions.text import hour_folder
 from driftlog.operators.metrics import latest_per_key
-from driftlog.session import delete_path, numbered_folders
+from driftlog.session import conf_set, delete_path, folder_state, numbered_folders
 
-# Archive folder pattern and zone, roll size in bytes.
+# Archive folder pattern and zone, roll size in bytes and roll interval in milliseconds.
 ARCHIVE_PATTERN = "yyyy-MM-dd--HH"
 ARCHIVE_ZONE = "Asia/Shanghai"
 ROLL_BYTES = 134_217_728
+ROLL_MS = 3_000_000
+#: Parts of an archive write may be this small, if there are cores for them.
+SMALL_PART = "32k"
 
 
 def with_archive_bucket(df: DataFrame, clock: Column | str | None = None,
@@ -37,14 +42,18 @@ def write_archive(df: DataFrame, path: str, line_col: str = "line", bucket_col:
 
     Rows are rebalanced by hour: AQE joins small hours and splits a busy one by
     its real bytes, so the tree gets a few bounded files per hour instead of one
-    per (task, hour), and no hour is one task's work.  ``max_records_per_file``
-    bounds a file by rows as well.
+    per (task, hour), and no hour is one task's work.  Small hours are joined only
+    as far as every core still has a part of them: opening files takes longer than
+    writing them.  ``max_records_per_file`` bounds a file by rows as well.
     """
     out = df.select(F.col(line_col).alias("value"), F.col(bucket_col).alias("bucket")).hint("rebalance", "bucket")
     writer = out.write.mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.partitionBy("bucket").text(path)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    with conf_set(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.minPartitionNum": str(cores),
+                                    "spark.sql.adaptive.coalescePartitions.minPartitionSize": SMALL_PART}):
+        writer.partitionBy("bucket").text(path)
 
 
 def write_archive_batch(df: DataFrame, archive: str, batch_id: int, line_col: str = "line",
@@ -70,6 +79,19 @@ def _archive_segments(spark: SparkSession, archive: str) -> list[int]:
     return numbered_folders(spark, f"{archive.rstrip('/')}/merged", "upto")
 
 
+def roll_due(spark: SparkSession, archive: str, roll_ms: int = ROLL_MS, roll_bytes: int = ROLL_BYTES, keep_last: int = 1,
+             now_ms: int | None = None) -> bool:
+    """Is it time to merge: is the oldest batch that can be merged ``roll_ms`` old, or are they ``roll_bytes`` together?"""
+    root = archive.rstrip("/")
+    upto = max(_archive_segments(spark, root), default=-1)
+    ids = [n for n in numbered_folders(spark, f"{root}/batches", "batch") if n > upto]
+    states = [folder_state(spark, f"{root}/batches/batch={n}") for n in (ids[:len(ids) - keep_last] if keep_last else ids)]
+    if not states:
+        return False
+    now = int(time.time() * 1000) if now_ms is None else now_ms
+    return now - min(t for t, _ in states) >= roll_ms or sum(n for _, n in states) >= roll_bytes
+
+
 def compact_archive(spark: SparkSession, archive: str, roll_bytes: int = ROLL_BYTES, keep_last: int = 1) -> None:
     """Merge the stream's batch folders into hour files of about ``roll_bytes`` at most.
 
@@ -84,14 +106,9 @@ def compact_archive(spark: SparkSession, archive: str, roll_bytes: int = ROLL_BY
     ids = [n for n in numbered_folders(spark, f"{root}/batches", "batch") if n > upto]
     ids = ids[:len(ids) - keep_last] if keep_last else ids
     if ids:
-        conf, key = spark.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-        before = conf.get(key)
-        conf.set(key, str(roll_bytes))
-        try:
+        with conf_set(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(roll_bytes)}):
             write_archive(_archive_batches(spark, root, ids), f"{root}/merged/upto={ids[-1]}", "value", "bucket",
                           mode="overwrite")
-        finally:
-            conf.set(key, before)
         for n in ids:
             delete_path(spark, f"{root}/batches/batch={n}")
 

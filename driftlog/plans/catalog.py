@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlog.operators import decode, dictionary, metrics, places, route, sinks
+from driftlog.functions.clock import DAY, HOUR, micros
+from driftlog.operators import asof, cubes, decode, dictionary, intervals, metrics, places, route, sessions, sinks, sketches, topk, windows
+from driftlog.operators.joins import stage_table
 from driftlog.plans import derived
 from driftlog.session import shared_path
 from driftlog.sources import protobuf
@@ -25,6 +27,14 @@ POLL_BOUND = "2024-01-10"
 # The days up to which three polls see the dictionary (None: all of it), and a number of batches.
 POLL_DAYS = ("2024-01-15", "2024-01-20", None)
 CHANGE_BATCHES = 3
+# Fixed values of the event-time queries: pairs, sessions, windows, lateness, rows of a top list and a heavy share.
+PAIR_WITHIN = 2 * HOUR
+SESSION_GAP = 8 * HOUR
+TUMBLING, TUMBLING_DELAY = 6 * HOUR, 12 * HOUR
+SLIDING, SLIDE, SLIDING_DELAY = DAY, 6 * HOUR, DAY
+TOP_USERS = 3
+HEAVY_SHARE = 0.04
+SKETCH_BOUND = 0.05
 
 
 def q_decode_log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,6 +236,7 @@ def q_enrich_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = protobuf.decode_log_batches(payloads, keep=("seq",), item_col="item")
     names = dictionary.latest_names(derived.dictionary(spark, sf_dir))
     geo = places.with_geohash5(rows, "latitude", "longitude")
+    geo = stage_table(geo, "decoded")
     _, grown = places.enrich_with_fill(geo, derived.places(spark, sf_dir), _resolver(spark, sf_dir),
                                        seq=("seq", "item"), lat="latitude", lon="longitude")
     out = enrich_batch(geo, grown, names)
@@ -236,10 +247,84 @@ def q_split_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole JSON routing job: lines -> rows -> place (cache-aside) -> JSON text -> routes."""
     from driftlog.streaming.jobs import split_batch
     parsed = places.with_geohash5(decode.parse_json_events(derived.json_lines(spark, sf_dir)), "wd", "jd")
+    parsed = stage_table(parsed, "parsed")
     _, grown = places.enrich_with_fill(parsed, derived.places(spark, sf_dir), _resolver(spark, sf_dir), lat="wd", lon="jd")
     return route.route_events(split_batch(parsed, grown), "event_type").select("seq", "route", "json")
 
 
+def q_event_name_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the type name that was valid at its time."""
+    facts = derived.log(spark, sf_dir).select("seq", F.col("type_id").alias("event_id"), "ts")
+    named = asof.asof_join(facts, derived.name_versions(spark, sf_dir), ("event_id",), "ts", "valid_from", ("type_name",))
+    return named.select("seq", "event_id", "type_name")
+
+
+def q_last_view_before_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase with the same user's last view before it, and how long before."""
+    lg = derived.log(spark, sf_dir)
+    bought = lg.where("event_type = 'purchase'").select("seq", "uid", "ts")
+    seen = lg.where("event_type = 'view'").select("uid", F.col("ts").alias("view_ts"), F.col("seq").alias("view_seq"))
+    out = asof.asof_join(bought, seen, ("uid",), "ts", "view_ts", ("view_seq", "view_ts"), tie=("view_seq",))
+    clock = lambda c: micros(F.col(c), out.schema[c].dataType)
+    return out.select("seq", "uid", "view_seq", (clock("ts") - clock("view_ts")).alias("since_us"))
+
+
+def q_view_purchase_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a view and a purchase of one user, the purchase at most two hours after the view."""
+    lg = derived.log(spark, sf_dir)
+    seen = lg.where("event_type = 'view'").select("uid", F.col("seq").alias("view_seq"), F.col("ts").alias("view_ts"))
+    bought = lg.where("event_type = 'purchase'").select("uid", F.col("seq").alias("purchase_seq"), F.col("ts").alias("purchase_ts"))
+    pairs = intervals.interval_join(seen, bought, ("uid",), "view_ts", "purchase_ts", 0, PAIR_WITHIN, gap_col="gap_us")
+    return pairs.select("uid", "view_seq", "purchase_seq", "gap_us")
+
+
+def q_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.sessionize(derived.log(spark, sf_dir), ("uid",), "ts", SESSION_GAP)
+
+
+def q_tumbling_counts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type and six hours as they arrive day by day; what comes after its window was closed is counted apart."""
+    return windows.windowed_counts(derived.arrivals(spark, sf_dir), ("event_type",), "ts", TUMBLING, batch="batch", delay=TUMBLING_DELAY)
+
+
+def q_sliding_counts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per activity and day, a new day every six hours, late rows apart."""
+    return windows.windowed_counts(derived.arrivals(spark, sf_dir), ("event_name",), "ts", SLIDING, SLIDE, "batch", SLIDING_DELAY)
+
+
+def q_weekly_users_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users per activity and week from stored daily sketches, held against the exact number."""
+    lg = derived.log(spark, sf_dir)
+    daily = stage_table(sketches.user_sketches(lg), "user-sketches")
+    week = F.trunc(F.to_date("dt"), "week").cast("string").alias("week")
+    rolled = sketches.roll_up(daily.withColumn("week", week), ("event_name", "week"))
+    exact = metrics.active_users(lg.withColumn("week", week), ("event_name", "week"), out_col="users_exact")
+    close = F.abs(sketches.estimate() - F.col("users_exact")) <= SKETCH_BOUND * F.col("users_exact")
+    return rolled.join(exact, ["event_name", "week"]).select("event_name", "week", "n_events", "users_exact", close.alias("estimate_close"))
+
+
+def q_activity_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = ("event_name", "dt", "event_type")
+    return cubes.grouping_sets(derived.log(spark, sf_dir), dims, cubes.cube_sets(dims))
+
+
+def q_activity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = ("event_type", "event_name", "dt")
+    return cubes.grouping_sets(derived.log(spark, sf_dir), dims, cubes.rollup_sets(dims))
+
+
+def q_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users with most events of each activity and day, ties by user."""
+    views = metrics.page_views(derived.log(spark, sf_dir), ("event_name", "dt", "uid"))
+    return topk.top_k(views, ("event_name", "dt"), [F.desc("pv"), F.col("uid")], TOP_USERS)
+
+
+def q_heavy_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity and type pairs that hold over four percent of all events."""
+    lg = derived.log(spark, sf_dir).select(F.concat_ws("|", "event_name", "event_type").alias("activity_type"))
+    return topk.heavy_hitters(lg, "activity_type", HEAVY_SHARE)
+
+
 QUERIES: dict[str, Query] = {
     "decode_log_batches": q_decode_log_batches,
     "parse_csv_events": q_parse_csv_events,
@@ -271,4 +356,15 @@ QUERIES: dict[str, Query] = {
     "activity_count_job": q_activity_count_job,
     "enrich_job": q_enrich_job,
     "split_job": q_split_job,
+    "event_name_asof": q_event_name_asof,
+    "last_view_before_purchase": q_last_view_before_purchase,
+    "view_purchase_pairs": q_view_purchase_pairs,
+    "user_sessions": q_user_sessions,
+    "tumbling_counts_late": q_tumbling_counts_late,
+    "sliding_counts_late": q_sliding_counts_late,
+    "weekly_users_sketch": q_weekly_users_sketch,
+    "activity_cube": q_activity_cube,
+    "activity_rollup": q_activity_rollup,
+    "top_users": q_top_users,
+    "heavy_activities": q_heavy_activities,
 }

@@ -158,3 +158,17 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(lg.event_type, F.lit("_v"), F.substring(lg.dt, 9, 2)).alias("event_name"),
         F.col("dt").alias("last_update"),
     ).distinct()
+
+
+def name_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary versions that take effect at a time: some days only, each id at its own hour."""
+    versions = dictionary(spark, sf_dir)
+    day, number = F.substring("last_update", 9, 2).cast("int"), F.col("event_id").cast("int")
+    valid_from = F.expr("CAST(last_update AS timestamp_ntz) + make_dt_interval(0, CAST(event_id AS int))")
+    return versions.where((day + number) % 3 == 1).select("event_id", F.col("event_name").alias("type_name"), valid_from.alias("valid_from"))
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with ``batch``, the day on which a row arrives; some rows arrive one to three days late."""
+    delay = F.when(F.col("seq") % 7 == 0, 1 + F.col("seq") % 3).otherwise(0)
+    return log(spark, sf_dir).withColumn("batch", F.unix_date(F.col("ts").cast("date")).cast("long") + delay)

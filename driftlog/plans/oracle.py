@@ -7,7 +7,7 @@ inputs (``log``, ``csv``, ``jsonin``, ``log_geo``, ``cells``, ``places``,
 
 from __future__ import annotations
 
-_LOG = """SELECT event_id AS seq,
+_LOG = """SELECT event_id AS seq, ts,
        concat('u', CAST(user_id AS VARCHAR(20))) AS uid,
        concat('act', CAST(user_id % 5 AS VARCHAR(20))) AS event_name,
        substr(CAST(ts AS VARCHAR(40)), 1, 19) AS time,
@@ -96,6 +96,29 @@ _VIEWS = {
 }
 
 
+_NAME_VERSIONS = """SELECT event_id, event_name AS type_name,
+       CAST(last_update AS TIMESTAMP) + to_hours(CAST(event_id AS INTEGER)) AS valid_from
+FROM dict WHERE (CAST(substr(last_update, 9, 2) AS INTEGER) + CAST(event_id AS INTEGER)) % 3 = 1"""
+
+_ARRIVALS = """SELECT *, epoch_us(ts) AS t, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT)
+       + CASE WHEN seq % 7 = 0 THEN 1 + seq % 3 ELSE 0 END AS batch
+FROM log"""
+
+_VIEWS |= {"name_versions": (("dict",), _NAME_VERSIONS), "arrivals": (("log",), _ARRIVALS)}
+
+
+def _windowed(key: str, width: int, slide: int, delay: int) -> str:
+    """Counts of all windows by a range join with the grid of their starts; late by the earlier batches' greatest time."""
+    return f""", marks AS (SELECT batch, max(max(t)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {delay} AS mark
+              FROM arrivals GROUP BY batch),
+grid AS (SELECT unnest(generate_series((SELECT min(t) // {slide} * {slide} - {width} FROM arrivals),
+                                       (SELECT max(t) FROM arrivals), {slide})) AS start),
+held AS (SELECT {key}, start, coalesce(start + {width} <= mark, FALSE) AS late
+         FROM arrivals JOIN marks USING (batch) JOIN grid ON start <= t AND t < start + {width})
+SELECT {key}, start AS window_start, COUNT(*) FILTER (NOT late) AS n, COUNT(*) FILTER (late) AS n_late
+FROM held GROUP BY {key}, start"""
+
+
 def _with(*names: str) -> str:
     order: list[str] = []
 
@@ -110,6 +133,8 @@ def _with(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{_VIEWS[n][1]}\n)" for n in order) + "\n"
 
 
+_HOUR = 3_600_000_000
+
 ORACLE: dict[str, str] = {
     "decode_log_batches": _with("log") + """SELECT uid, type_id AS event_id, event_name, province,
        '' AS city, '' AS district, lon AS longitude, lat AS latitude FROM log""",
@@ -244,4 +269,32 @@ SELECT seq, 'main' AS route, json FROM coded
 UNION ALL
 SELECT seq, CASE WHEN starts_with(event_type, 'flow') THEN 'flow' ELSE 'acitiv' END AS route, json FROM coded
 WHERE starts_with(event_type, 'flow') OR starts_with(event_type, 'acitiv')""",
+    "event_name_asof": _with("name_versions") + """SELECT seq, type_id AS event_id, type_name
+FROM log ASOF LEFT JOIN name_versions v ON type_id = v.event_id AND ts >= valid_from""",
+    "last_view_before_purchase": _with("log") + """, seen AS (
+  SELECT uid, ts AS view_ts, MAX(seq) AS view_seq FROM log WHERE event_type = 'view' GROUP BY uid, ts)
+SELECT seq, p.uid, view_seq, epoch_us(ts) - epoch_us(view_ts) AS since_us
+FROM (SELECT * FROM log WHERE event_type = 'purchase') p ASOF LEFT JOIN seen ON p.uid = seen.uid AND p.ts >= seen.view_ts""",
+    "view_purchase_pairs": _with("log") + """SELECT v.uid, v.seq AS view_seq, p.seq AS purchase_seq,
+       epoch_us(p.ts) - epoch_us(v.ts) AS gap_us
+FROM log v JOIN log p ON v.uid = p.uid AND v.event_type = 'view' AND p.event_type = 'purchase'
+  AND p.ts BETWEEN v.ts AND v.ts + INTERVAL 2 HOUR""",
+    "user_sessions": _with("log") + f""", steps AS (
+  SELECT uid, epoch_us(ts) AS t, t - LAG(t) OVER (PARTITION BY uid ORDER BY t) AS gap FROM log),
+numbered AS (SELECT uid, t, SUM(CASE WHEN gap <= {8 * _HOUR} THEN 0 ELSE 1 END) OVER (PARTITION BY uid ORDER BY t) AS s FROM steps)
+SELECT uid, MIN(t) AS session_start, MAX(t) AS session_end, COUNT(*) AS n_events FROM numbered GROUP BY uid, s""",
+    "tumbling_counts_late": _with("arrivals") + _windowed("event_type", 6 * _HOUR, 6 * _HOUR, 12 * _HOUR),
+    "sliding_counts_late": _with("arrivals") + _windowed("event_name", 24 * _HOUR, 6 * _HOUR, 24 * _HOUR),
+    "weekly_users_sketch": _with("log") + """SELECT event_name, CAST(CAST(date_trunc('week', CAST(dt AS DATE)) AS DATE) AS VARCHAR) AS week,
+       COUNT(*) AS n_events, COUNT(DISTINCT uid) AS users_exact, TRUE AS estimate_close
+FROM log GROUP BY 1, 2""",
+    "activity_cube": _with("log") + """SELECT event_name, dt, event_type, CAST(GROUPING_ID(event_name, dt, event_type) AS BIGINT) AS grouping_id,
+       COUNT(*) AS pv, COUNT(DISTINCT uid) AS uv FROM log GROUP BY CUBE (event_name, dt, event_type)""",
+    "activity_rollup": _with("log") + """SELECT event_type, event_name, dt, CAST(GROUPING_ID(event_type, event_name, dt) AS BIGINT) AS grouping_id,
+       COUNT(*) AS pv, COUNT(DISTINCT uid) AS uv FROM log GROUP BY ROLLUP (event_type, event_name, dt)""",
+    "top_users": _with("log") + """SELECT event_name, dt, uid, COUNT(*) AS pv,
+       CAST(ROW_NUMBER() OVER (PARTITION BY event_name, dt ORDER BY COUNT(*) DESC, uid) AS INTEGER) AS rank
+FROM log GROUP BY event_name, dt, uid QUALIFY rank <= 3""",
+    "heavy_activities": _with("log") + """SELECT concat_ws('|', event_name, event_type) AS activity_type, COUNT(*) AS n
+FROM log GROUP BY 1 HAVING COUNT(*) > 0.04e0 * (SELECT COUNT(*) FROM log)""",
 }

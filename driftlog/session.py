@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -75,6 +76,19 @@ def build_session(app: str = "driftlog", master: str | None = None,
     return spark
 
 
+@contextmanager
+def conf_set(spark: SparkSession, values: dict[str, str]):
+    """SQL settings for the length of a ``with`` block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can see; honours ``spark.checkpoint.dir``.
 
@@ -137,6 +151,13 @@ def numbered_folders(spark: SparkSession, root: str, key: str) -> list[int]:
     return sorted(found)
 
 
+def folder_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """``(milliseconds since 1970 of its last change, bytes)`` of a complete folder."""
+    files, p = _hadoop_path(spark, path)
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")
+    return files.getFileStatus(mark).getModificationTime(), files.getContentSummary(p).getLength()
+
+
 def publish_folder(spark: SparkSession, written: str, final: str) -> None:
     """Give a complete folder its final name in one step."""
     files, source = _hadoop_path(spark, written)

@@ -18,7 +18,8 @@ the last bound (``--dict_form dictionary|event_table`` chooses the first one,
 ``split-archive``: the function takes the session and returns a resolver (see
 ``operators.places.geocoder_resolver``).  ``--sink console`` makes ``enrich``
 print its rows.  ``--per_row true`` gives ``scoreboard`` per-row counts, for
-topics without keys.  ``--compact_every N`` merges the archive every N batches.
+topics without keys.  ``--compact_every N`` merges the archive every N batches,
+``--roll_ms N`` whenever its oldest batch is N milliseconds old.
 
 ``--source files --input <dir>`` reads files instead of Kafka (columns
 ``seq`` and ``line`` or ``payload``); ``--once true`` processes what is
@@ -134,7 +135,8 @@ def build_query(spark: SparkSession, job: str, opts: dict[str, str]):
             return jobs.split_archive_stream(
                 _source(spark, opts, False), load_places, f"{out}/routes", f"{out}/archive", ck, kafka_opts=kafka_opts,
                 resolver=_resolver(spark, opts), place_output=f"{out}/places", trigger=trigger,
-                compact_every=int(opts["compact_every"]) if "compact_every" in opts else None)
+                compact_every=int(opts["compact_every"]) if "compact_every" in opts else None,
+                roll_ms=int(opts["roll_ms"]) if "roll_ms" in opts else None)
         lines = _source(spark, opts, False)
         if opts.get("per_row") == "true" or job == "active-users":
             names = dictionary.latest_names(_dictionary_loader(spark, opts)())

@@ -15,6 +15,7 @@ least once), keyed by their arrival order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,29 +48,46 @@ class PlaceStore:
     Each micro-batch writes its *new* cells, once, to ``folder/batch_id=N``, and
     reads them back for its join, so the resolver is called once per cell and rows
     and dictionary agree.  A batch sees the base and the cells of the batches
-    before it; a replayed batch resolves its own cells anew and replaces them.
-    ``compact`` merges the folders.
+    before it; a replayed batch resolves its own cells anew and replaces them.  A
+    cell that several sources know has one place: the base's, else that of the
+    earliest batch.  ``compact`` adds a version ``folder/merged/upto=N`` that holds
+    all batches up to N.
     """
 
     def __init__(self, spark: SparkSession, folder: str, base: Loader | None = None):
         self.spark, self.folder, self.base = spark, folder.rstrip("/"), base
 
-    def _resolved(self, before: int | None) -> DataFrame | None:
-        ids = [n for n in numbered_folders(self.spark, self.folder, "batch_id") if before is None or n < before]
-        if not ids:
-            return None
-        return self.spark.read.schema(PLACE_SCHEMA).parquet(*[f"{self.folder}/batch_id={n}" for n in ids])
+    def _resolved(self, before: int | None = None) -> DataFrame | None:
+        """Cells resolved by the batches before ``before``, with the batch as ``source``."""
+        merged = [n for n in numbered_folders(self.spark, f"{self.folder}/merged", "upto") if before is None or n < before]
+        since = merged[-1] if merged else -1
+        ids = [n for n in numbered_folders(self.spark, self.folder, "batch_id") if n > since and (before is None or n < before)]
+        parts = []
+        if merged:
+            parts.append(self.spark.read.schema(f"{PLACE_SCHEMA}, source long").parquet(f"{self.folder}/merged/upto={since}"))
+        if ids:
+            rows = self.spark.read.schema(f"{PLACE_SCHEMA}, batch_id long").option("basePath", self.folder)
+            parts.append(rows.parquet(*[f"{self.folder}/batch_id={n}" for n in ids]).withColumnRenamed("batch_id", "source"))
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    @staticmethod
+    def _first(cells: DataFrame) -> DataFrame:
+        """Per cell the place of its least source."""
+        place = F.struct("source", *places.PLACE_COLS)
+        return cells.groupBy("geohash5").agg(F.min(place).alias("p")).select("geohash5", *[f"p.{c}" for c in places.PLACE_COLS], "p.source")
 
     def table(self, before: int | None = None) -> DataFrame:
         """One row per known cell, as of the batches before ``before`` (default: all)."""
-        parts = [places.known_places(self.base()).select("geohash5", *places.PLACE_COLS)] if self.base else []
+        parts = []
+        if self.base:
+            known = places.known_places(self.base()).select("geohash5", *places.PLACE_COLS)
+            parts.append(known.withColumn("source", F.lit(-1).cast("long")))
         resolved = self._resolved(before)
         if resolved is not None:
             parts.append(resolved)
         if not parts:
             return self.spark.createDataFrame([], PLACE_SCHEMA)
-        both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return both.dropDuplicates(["geohash5"])
+        return self._first(reduce(DataFrame.unionByName, parts)).drop("source")
 
     def fill(self, facts: DataFrame, resolver: places.Resolver, batch_id: int, seq, lat: str, lon: str) -> DataFrame:
         """Resolve and store the batch's new cells; the dictionary with them."""
@@ -78,17 +96,23 @@ class PlaceStore:
         places.resolve_missing(facts, known, resolver, seq=seq, lat=lat, lon=lon).write.mode("overwrite").parquet(path)
         return known.unionByName(self.spark.read.schema(PLACE_SCHEMA).parquet(path))
 
-    def compact(self) -> None:
-        """Merge the folders of all batches but the last into that of the last but one."""
+    def compact(self, keep_versions: int = 2) -> None:
+        """Merge all batches but the last (a restart may write it again) into a new version.
+
+        Nothing that a reader may have opened is overwritten; the batches and
+        versions behind the newest ``keep_versions`` versions are then deleted.
+        """
         ids = numbered_folders(self.spark, self.folder, "batch_id")
-        if len(ids) < 3:
+        merged = numbered_folders(self.spark, f"{self.folder}/merged", "upto")
+        if len(ids) < 3 or (merged and ids[-2] <= merged[-1]):
             return
-        merged, spare = f"{self.folder}/batch_id={ids[-2]}", f"{self.folder}/_merging"
-        self._resolved(ids[-1]).dropDuplicates(["geohash5"]).write.mode("overwrite").parquet(spare)
-        self.spark.read.schema(PLACE_SCHEMA).parquet(spare).write.mode("overwrite").parquet(merged)
-        for n in ids[:-2]:
+        upto = ids[-2]
+        self._first(self._resolved(upto + 1)).write.mode("overwrite").parquet(f"{self.folder}/merged/upto={upto}")
+        kept = [*merged, upto][-keep_versions:]
+        for n in (n for n in merged if n not in kept):
+            delete_path(self.spark, f"{self.folder}/merged/upto={n}")
+        for n in (n for n in ids if n <= kept[0]):
             delete_path(self.spark, f"{self.folder}/batch_id={n}")
-        delete_path(self.spark, spare)
 
 
 # --------------------------------------------------------------------------- P1
@@ -413,14 +437,16 @@ def split_archive_stream(lines: DataFrame, load_places: Loader | None, routes_ou
                          trigger: dict | None = None, name: str | None = None,
                          resolver: places.Resolver | None = None,
                          place_output: str | None = None,
-                         compact_every: int | None = None) -> StreamingQuery:
+                         compact_every: int | None = None, roll_ms: int | None = None) -> StreamingQuery:
     """P3: JSON ``lines`` (with ``seq``) -> side routes + hourly archive under ``archive_out``.
 
     ``clock=None`` files rows by processing time (the reference); pass a
     timestamp column name to file by event time.  A batch's archive folder is
     overwritten as a whole, so a replayed batch does not duplicate, in whatever
-    hour it is replayed; every ``compact_every`` batches the folders are merged
-    into large files.  ``sinks.read_stream_archive`` reads it all.
+    hour it is replayed; every ``compact_every`` batches, or once the oldest is
+    ``roll_ms`` old or they are large enough for a file (``sinks.roll_due``), the
+    folders are merged into large files, and those of resolved places, too.
+    ``sinks.read_stream_archive`` reads it all.
     """
     if resolver is not None and not place_output:
         raise ValueError("a resolver needs place_output, where resolved cells are kept")
@@ -434,7 +460,10 @@ def split_archive_stream(lines: DataFrame, load_places: Loader | None, routes_ou
         store = PlaceStore(spark, place_output or f"{checkpoint}/no-places", load_places)
         split_archive_batch(batch, store, batch_id, routes_out, archive_out, clock="ts" if clock else None,
                             kafka_opts=kafka_opts, resolver=resolver)
-        if compact_every and batch_id and batch_id % compact_every == 0:
+        counted = compact_every and batch_id and batch_id % compact_every == 0
+        if counted or (roll_ms is not None and sinks.roll_due(spark, archive_out, roll_ms)):
             sinks.compact_archive(spark, archive_out)
+            if resolver is not None:
+                store.compact()
 
     return _start(parsed.writeStream.foreachBatch(run), checkpoint, trigger, name)

@@ -121,3 +121,13 @@ def test_line_end_is_a_last_field(spark):
     df = spark.createDataFrame(list(enumerate(lines)), "seq long, line string")
     got = {r.seq: r.province for r in parse_csv_events(df).collect()}
     assert got == {0: "\n", 1: "\r", 3: "p\n", 4: ""}
+
+
+def test_a_line_that_closes_the_wrapper_itself_is_corrupt(spark):
+    """Text behind the object, also where it closes the array that the line is parsed in."""
+    good = '{"uid":"a","time":"t","eventType":"e","jd":1,"wd":2}'
+    tails = ["", "  ", "}]garbage", "}]", '},{"v":1}]', '}, {"uid":"b"}]x', ',"x":1', ',{"_end_of_line":1},{}', "]", '}]{"v":{"uid":"b"}']
+    df = spark.createDataFrame([(i, good + t) for i, t in enumerate(tails)], "seq long, line string")
+    assert sorted(r.seq for r in parse_json_events(df).collect()) == [0, 1]
+    flagged = {r.seq: r._corrupt for r in parse_json_events(df, on_corrupt="flag").collect()}
+    assert flagged == {i: i > 1 for i in range(len(tails))}

@@ -62,7 +62,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-DUCK_TO_SPARK = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BLOB": "binary"}
+DUCK_TO_SPARK = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BLOB": "binary", "BOOLEAN": "boolean"}
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))

@@ -144,6 +144,42 @@ def test_archive_compaction_makes_few_files(spark, workdir):
     assert [d for d in os.listdir(os.path.join(workdir, "batches")) if d.startswith("batch")] == ["batch=11"]
 
 
+def test_archive_rolls_by_age_and_by_size(spark, workdir):
+    """Due once the oldest batch that may be merged is old enough, or the batches are large enough; the newest doesn't count."""
+    import time
+    now = int(time.time() * 1000)
+    assert not sinks.roll_due(spark, workdir, now_ms=now)
+    for n in range(3):
+        sinks.write_archive_batch(spark.createDataFrame([("x" * 100, "h")], "line string, bucket string"), workdir, n)
+    assert not sinks.roll_due(spark, workdir, now_ms=now)
+    assert sinks.roll_due(spark, workdir, now_ms=now + sinks.ROLL_MS + 120_000)
+    assert sinks.roll_due(spark, workdir, roll_bytes=150, now_ms=now) and not sinks.roll_due(spark, workdir, roll_bytes=250, now_ms=now)
+    sinks.compact_archive(spark, workdir)
+    assert not sinks.roll_due(spark, workdir, now_ms=now + sinks.ROLL_MS + 120_000)
+
+
+def test_place_store_keeps_the_first_place_of_a_cell(spark, workdir):
+    """The base comes first, then the earliest batch; versions replace nothing that a reader may have open."""
+    base = spark.createDataFrame([("c1", "base", "b", "b")], jobs.PLACE_SCHEMA)
+    store = jobs.PlaceStore(spark, workdir, lambda: base)
+    for n, cells in enumerate((("c1", "c2"), ("c2", "c3"), ("c3", "c4"), ("c4", "c1"))):
+        rows = [(c, f"batch{n}", "x", "x") for c in cells]
+        spark.createDataFrame(rows, jobs.PLACE_SCHEMA).write.parquet(os.path.join(workdir, f"batch_id={n}"))
+    want = {"c1": "base", "c2": "batch0", "c3": "batch1", "c4": "batch2"}
+    found = lambda before=None: {r.geohash5: r.province for r in store.table(before).collect()}
+    assert found() == want and found(2) == {"c1": "base", "c2": "batch0", "c3": "batch1"}
+    opened = store.table()
+    store.compact()
+    assert sorted(os.listdir(os.path.join(workdir, "merged"))) == ["upto=2"] and found() == want
+    spark.createDataFrame([("c5", "batch4", "x", "x")], jobs.PLACE_SCHEMA).write.parquet(os.path.join(workdir, "batch_id=4"))
+    spark.createDataFrame([("c6", "batch5", "x", "x")], jobs.PLACE_SCHEMA).write.parquet(os.path.join(workdir, "batch_id=5"))
+    store.compact()
+    store.compact()
+    assert sorted(os.listdir(os.path.join(workdir, "merged"))) == ["upto=2", "upto=4"]
+    assert found() == want | {"c5": "batch4", "c6": "batch5"}
+    assert opened.columns == ["geohash5", "province", "city", "district"]
+
+
 def test_restart_covers_a_failed_start():
     tries = []
 
