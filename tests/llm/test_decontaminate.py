@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from llm_cases import odd_rows, words
 
 from driftlog.llm import decontaminate as d
@@ -68,16 +69,47 @@ def test_every_window_is_found(spark, case):
     benchmark = spark.createDataFrame([(*x, "k", 1, "s") for x in items], ITEM)
     frame = spark.createDataFrame([(*x, "k", 1) for x in docs], "doc_id long, text string, key string, m int").repartition(3)
     got = {}
-    for r in d.contaminated(frame, benchmark, radius=31).collect():
+    for r in d.contaminated(frame, benchmark).collect():
         got.setdefault((r.doc_id, r.item_id), []).append((round(r.similarity, 9), r.start, r.n_words))
     want = slow(docs, items)
     assert got == want and len(want) > 20
-    clean = d.without_contaminated(frame, benchmark, radius=31)
+    clean = d.without_contaminated(frame, benchmark)
     assert clean.columns == frame.columns
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - {i for i, _ in want}
-    # the radius in use loses none of these either
-    near = {(r.doc_id, r.item_id) for r in d.contaminated(frame, benchmark).collect()}
-    assert {k for k, v in want.items() if v[0][0] >= 0.9} <= near <= set(want)
+    with pytest.raises(ValueError):
+        d.contaminated(frame, benchmark, radius=d.RADIUS + 1)
+
+
+def test_blocks_find_all_fingerprints_within_the_radius(spark):
+    """Random fingerprints at every distance up to the radius share a block; beyond it they may not."""
+    rnd = random.Random(13)
+    rows = []
+    for far in [*range(d.RADIUS + 1)] * 3:
+        f = rnd.getrandbits(256)
+        g = f
+        for bit in rnd.sample(range(256), far):
+            g ^= 1 << bit
+        if far == d.RADIUS:  # the worst case: two bits of every block but one
+            g = f
+            for k in range(d.BLOCKS):
+                for bit in rnd.sample(range(8), 1 if k == 5 else 2):
+                    g ^= 1 << (8 * k + bit)
+        signed = lambda x: [((x >> 64 * k) & (2**64 - 1)) - (((x >> 64 * k) & (1 << 63)) << 1) for k in range(4)]
+        rows.append((far, signed(f), signed(g)))
+    df = spark.createDataFrame(rows, "far int, f array<long>, g array<long>")
+    met = F.arrays_overlap(d.blocks(F.col("f"), False), d.blocks(F.col("g"), True))
+    got = df.select("far", d.distance(F.col("f"), F.col("g")).alias("n"), met.alias("met")).collect()
+    assert all(r.far == r.n and r.met for r in got)
+
+
+def test_simhash_is_the_majority_of_each_bit(spark):
+    hashes = [[5, -7, 123456789], [1 << 40], [7, 7, 9, -1, 3, 2]]
+    df = spark.createDataFrame([(h,) for h in hashes], "s array<long>")
+    seeded = [F.transform("s", (lambda seed: lambda x: F.xxhash64(x, F.lit(seed)))(k)).alias(f"h{k}") for k in range(d.SEEDS)]
+    for r in df.select(d.simhash(F.col("s")).alias("fp"), *seeded).collect():
+        for k in range(d.SEEDS):
+            bits = [2 * sum((x >> b) & 1 for x in r[f"h{k}"]) > len(r[f"h{k}"]) for b in range(64)]
+            assert r.fp[k] % 2**64 == sum(1 << b for b, on in enumerate(bits) if on)
 
 
 def test_beyond_the_broadcast_bound(spark, case, monkeypatch):
