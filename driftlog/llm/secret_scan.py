@@ -21,7 +21,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlog.llm.common import table, text_bytes
+from driftlog.llm.common import staged, table, text_bytes
 
 # The patterns of the base kinds, and the least length of what they must find.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -90,10 +90,19 @@ def identifier_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def identifier_dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY_BYTES) -> bytes:
     """The identifiers that fill most of the corpus, space-joined, the greatest last (nearest to what is compressed).
 
-    At most ``size / NAME_LENGTHS[0]`` names come to the driver.
+    A name fills its length times its count.  The names that can be among the
+    greatest are found by a histogram of these by powers of two (64 rows), so only
+    they are sorted; at most ``size / NAME_LENGTHS[0]`` come to the driver.
     """
-    counts = identifier_counts(docs, text_col).where("n > 1")
-    first = counts.orderBy(F.desc(F.col("n") * F.length("name")), "name").limit(size // NAME_LENGTHS[0])
+    fills = F.col("n") * F.length("name")
+    counts = staged(identifier_counts(docs, text_col).where("n > 1").withColumn("fills", fills), "identifiers")
+    steps = counts.groupBy(F.floor(F.log2("fills")).cast("int").alias("step")).agg(F.sum(F.length("name") + 1).alias("b"))
+    least, held = 0, 0
+    for row in steps.orderBy(F.desc("step")).collect():
+        least, held = row.step, held + row.b
+        if held > size:
+            break
+    first = counts.where(F.col("fills") >= (1 << least)).orderBy(F.desc("fills"), "name").limit(size // NAME_LENGTHS[0])
     names, used = [], 0
     for row in first.collect():
         used += len(row.name) + 1
