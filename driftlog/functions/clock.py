@@ -29,6 +29,11 @@ def micros(time: Column, kind: T.DataType) -> Column:
     raise TypeError(f"no clock in {kind.simpleString()}")
 
 
+def event_time(time: Column, kind: T.DataType) -> Column:
+    """A timestamp that can carry a watermark; one without zone is taken as UTC, so that ``micros`` of both agree."""
+    return time if isinstance(kind, T.TimestampType) else F.timestamp_micros(micros(time, kind))
+
+
 def bin_of(clock: Column, width: int) -> Column:
     """Number of the bin of ``width`` that holds a long (floor, below zero as well)."""
     return F.floor((clock - F.pmod(clock, F.lit(width))) / F.lit(width)).cast("long") if width > 1 else clock

@@ -16,9 +16,10 @@ from driftlog.functions.clock import DAY, HOUR, micros
 from driftlog.operators import asof, cubes, decode, dictionary, intervals, metrics, places, route, sessions, sinks, sketches, topk, windows
 from driftlog.operators.joins import stage_table
 from driftlog.plans import derived
-from driftlog.session import shared_path
+from driftlog.session import STREAM_CONF, conf_set, shared_path
 from driftlog.sources import protobuf
 from driftlog.sources.dictionary import IncrementalNames
+from driftlog.streaming import windows as stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,11 @@ SLIDING, SLIDE, SLIDING_DELAY = DAY, 6 * HOUR, DAY
 TOP_USERS = 3
 HEAVY_SHARE = 0.04
 SKETCH_BOUND = 0.05
+# Fixed values of the queries that run a stream: parts in which the log arrives, expiry of counts, wait for a name, watermark delay.
+STREAM_PARTS = 3
+COUNT_IDLE = 6 * HOUR
+NAME_WAIT = 2 * DAY
+STREAM_DELAY = DAY
 
 
 def q_decode_log_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,6 +331,75 @@ def q_heavy_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.heavy_hitters(lg, "activity_type", HEAVY_SHARE)
 
 
+def _streamed(spark: SparkSession, arriving: list[dict[str, DataFrame]], make: Callable[..., DataFrame]) -> DataFrame:
+    """What a stream gives for inputs that arrive in parts: after each part the query is started anew and takes what is there.
+
+    ``arriving`` holds, for each part, the rows of every input by name; ``make``
+    gets the inputs as streams.  State is kept in RocksDB.
+    """
+    root = shared_path(spark, "streamed", unique=True)
+    with conf_set(spark, STREAM_CONF):
+        for part in arriving:
+            for name, rows in part.items():
+                rows.write.mode("append").parquet(f"{root}/{name}")
+            inputs = {name: spark.readStream.schema(rows.schema).parquet(f"{root}/{name}") for name, rows in part.items()}
+            out = make(**inputs)
+            writer = out.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+            writer.trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+def _by_time(like: DataFrame, others: tuple[tuple[DataFrame, str], ...] = (), time: str = "ts", parts: int = STREAM_PARTS) -> list:
+    """The rows of ``like`` in ``parts`` spans of its time, in order; of ``others`` (with their time) those of the same spans."""
+    clock = lambda df, c: micros(F.col(c), df.schema[c].dataType)
+    low, high = like.agg(F.min(clock(like, time)), F.max(clock(like, time))).first()
+    step = ((high or 0) - (low or 0)) // parts + 1
+    span = lambda df, c: F.floor((clock(df, c) - F.lit(low or 0)) / F.lit(step))
+    dealt = [[df.where(F.least(F.greatest(span(df, c), F.lit(0)), F.lit(parts - 1)) == k) for k in range(parts)]
+             for df, c in ((like, time), *others)]
+    return list(zip(*dealt)) if others else dealt[0]
+
+
+def q_user_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions of ``user_sessions`` from a stream; a last row two days later closes them all."""
+    lg = derived.log(spark, sf_dir).select("uid", "ts")
+    end = lg.agg(F.max("ts").alias("ts")).select(F.lit("end of log").alias("uid"), (F.col("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"))
+    found = _streamed(spark, [{"log": rows} for rows in [*_by_time(lg), end]],
+                      lambda log: stream_windows.sessions_stream(log, ("uid",), "ts", SESSION_GAP, STREAM_DELAY))
+    return found.where("uid != 'end of log'")
+
+
+def q_expiring_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts per user and type that start anew after six hours without such an event, from a stream."""
+    from driftlog.streaming.timers import expiring_counts_stream
+    lg = derived.log(spark, sf_dir).select("seq", "uid", "event_type", "ts")
+    return _streamed(spark, [{"log": rows} for rows in _by_time(lg)],
+                     lambda log: expiring_counts_stream(log, ("uid",), "event_type", "seq", "ts", COUNT_IDLE, STREAM_DELAY))
+
+
+def q_named_when_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, events and dictionary rows: each event once, named if its id's first name comes within two days."""
+    from driftlog.streaming.timers import named_when_known_stream
+    facts = derived.log(spark, sf_dir).select("seq", F.col("type_id").alias("event_id"), "ts")
+    versions = derived.name_versions(spark, sf_dir)
+    first = versions.groupBy("event_id").agg(F.min_by("type_name", "valid_from").alias("type_name"), F.min("valid_from").alias("valid_from"))
+    end = facts.agg(F.max("ts").alias("ts")).select(F.lit(-1).cast("long").alias("seq"), F.lit("end of log").alias("event_id"),
+                                                    (F.col("ts") + F.expr("INTERVAL 5 DAYS")).alias("ts"))
+    after = end.select("event_id", F.lit("end").alias("type_name"), F.col("ts").alias("valid_from"))
+    parts = [{"events": a, "names": b} for a, b in [*_by_time(facts, ((first, "valid_from"),)), (end, after)]]
+    found = _streamed(spark, parts, lambda events, names: named_when_known_stream(
+        events, names, "event_id", "seq", "ts", "type_name", "valid_from", NAME_WAIT, STREAM_DELAY, parts=4))
+    return found.where("seq >= 0")
+
+
+def q_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as it comes from a source that sends each part twice and one event in five three times: first copies only."""
+    lg = derived.log(spark, sf_dir).select("seq", "uid", "event_type", "ts")
+    parts = [rows.unionByName(rows.where("seq % 5 = 0")) for rows in _by_time(lg)]
+    return _streamed(spark, [{"log": rows} for rows in (parts[0], parts[0], parts[1], parts[1].unionByName(parts[2]), parts[2])],
+                     lambda log: stream_windows.first_copies_stream(log, ("seq",), "ts", 20 * DAY)).select("seq", "uid", "event_type")
+
+
 QUERIES: dict[str, Query] = {
     "decode_log_batches": q_decode_log_batches,
     "parse_csv_events": q_parse_csv_events,
@@ -367,4 +442,8 @@ QUERIES: dict[str, Query] = {
     "activity_rollup": q_activity_rollup,
     "top_users": q_top_users,
     "heavy_activities": q_heavy_activities,
+    "user_sessions_stream": q_user_sessions_stream,
+    "expiring_counts": q_expiring_counts,
+    "named_when_known": q_named_when_known,
+    "first_copies": q_first_copies,
 }

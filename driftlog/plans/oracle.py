@@ -297,4 +297,16 @@ FROM log GROUP BY 1, 2""",
 FROM log GROUP BY event_name, dt, uid QUALIFY rank <= 3""",
     "heavy_activities": _with("log") + """SELECT concat_ws('|', event_name, event_type) AS activity_type, COUNT(*) AS n
 FROM log GROUP BY 1 HAVING COUNT(*) > 0.04e0 * (SELECT COUNT(*) FROM log)""",
+    "expiring_counts": _with("log") + f""", steps AS (
+  SELECT seq, uid, event_type, epoch_us(ts) AS t,
+         t - LAG(t) OVER (PARTITION BY uid, event_type ORDER BY t, seq) AS gap FROM log),
+numbered AS (SELECT *, SUM(CASE WHEN gap <= {6 * _HOUR} THEN 0 ELSE 1 END) OVER (PARTITION BY uid, event_type ORDER BY t, seq) AS s
+             FROM steps)
+SELECT seq, uid, event_type, ROW_NUMBER() OVER (PARTITION BY uid, event_type, s ORDER BY t, seq) AS cnt FROM numbered""",
+    "named_when_known": _with("name_versions") + """, named AS (
+  SELECT event_id, arg_min(type_name, valid_from) AS name, MIN(valid_from) AS since FROM name_versions GROUP BY event_id)
+SELECT seq, type_id AS event_id, CASE WHEN since <= ts + INTERVAL 2 DAY THEN name END AS type_name
+FROM log LEFT JOIN named ON type_id = event_id""",
+    "first_copies": _with("log") + "SELECT seq, uid, event_type FROM log",
 }
+ORACLE["user_sessions_stream"] = ORACLE["user_sessions"]

@@ -15,7 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from driftlog.functions.clock import event_time
+
 MILLIS = 1000
+#: A timer may fire later by this part of the span it waits for, so that keys have few timers.
+COARSE = 64
+
+
+def _timer(at: int, span: int) -> int:
+    """The millisecond of a timer that fires behind ``at`` (microseconds), rounded up to a part of ``span``."""
+    step = max(1, span // COARSE // MILLIS)
+    return (at // MILLIS // step + 1) * step
 
 
 def _held(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame | None:
@@ -24,7 +34,7 @@ def _held(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame | None:
 
 
 class _RunningCounts(StatefulProcessor):
-    """Map state per key: ``item -> (count, time of its last row)``; a timer at the time when the first of them expires."""
+    """Map state per key: ``item -> (count, time of its last row)``; a timer for the first of them that expires."""
 
     def __init__(self, idle: int) -> None:
         self.idle = idle
@@ -47,14 +57,19 @@ class _RunningCounts(StatefulProcessor):
             out.append(known[item][0])
         for item, value in known.items():
             self.counts.updateValue((item,), value)
-            self.handle.registerTimer(-(-(value[1] + self.idle) // MILLIS) + 1)
+        self.handle.registerTimer(_timer(min(last for _, last in known.values()) + self.idle, self.idle))
         yield pd.DataFrame({"seq": frame["seq"].to_numpy(), **{f"key{i}": k for i, k in enumerate(key)}, "item": frame["item"].to_numpy(), "cnt": out})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = expiredTimerInfo.getExpiryTimeInMs() * MILLIS
+        left = []
         for (item,), (_, last) in list(self.counts.iterator()):
             if last + self.idle < passed:
                 self.counts.removeKey((item,))
+            else:
+                left.append(last)
+        if left:
+            self.handle.registerTimer(_timer(min(left) + self.idle, self.idle))
         return iter([])
 
     def close(self) -> None:
@@ -69,7 +84,8 @@ def expiring_counts_stream(df: DataFrame, keys: tuple[str, ...], item: str, seq:
     rows behind the watermark are dropped by Spark.
     """
     named = [F.col(k).alias(f"key{i}") for i, k in enumerate(keys)]
-    rows = df.select(F.col(seq).alias("seq"), *named, F.col(item).cast("string").alias("item"), F.col(time).alias("time"))
+    rows = df.select(F.col(seq).alias("seq"), *named, F.col(item).cast("string").alias("item"),
+                     event_time(F.col(time), df.schema[time].dataType).alias("time"))
     rows = rows.withWatermark("time", f"{delay} microseconds").withColumn("us", F.unix_micros("time"))
     schema = T.StructType([*[rows.schema[c] for c in ("seq", *[f"key{i}" for i in range(len(keys))], "item")], T.StructField("cnt", T.LongType())])
     out = rows.groupBy(*[f"key{i}" for i in range(len(keys))]).transformWithStateInPandas(_RunningCounts(idle), schema, "Append", "EventTime")
@@ -116,19 +132,20 @@ class _Waiting(StatefulProcessor):
         later = [e for e in fresh if held is None or held[2] > e[1] + self.wait]
         if later:
             self.events.appendList(later)
-            for at in {-(-(at + self.wait) // MILLIS) + 1 for _, at in later}:
-                self.handle.registerTimer(at)
+            self.handle.registerTimer(_timer(min(at for _, at in later) + self.wait, self.wait))
         yield from self._rows(key, in_time, held and held[0])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = expiredTimerInfo.getExpiryTimeInMs() * MILLIS
+        passed = timerValues.getCurrentWatermarkInMs() * MILLIS
         waiting = [tuple(e) for e in self.events.get()] if self.events.exists() else []
         gone = [e for e in waiting if e[1] + self.wait < passed]
+        left = [e for e in waiting if e[1] + self.wait >= passed]
         if gone:
-            left = [e for e in waiting if e[1] + self.wait >= passed]
             self.events.clear()
             if left:
                 self.events.put(left)
+        if left:
+            self.handle.registerTimer(max(_timer(min(at for _, at in left) + self.wait, self.wait), passed // MILLIS + 1))
         yield from self._rows(key, gone, None)
 
     def close(self) -> None:
@@ -147,12 +164,14 @@ def named_when_known_stream(events: DataFrame, names: DataFrame, key: str, seq:
     ``parts`` by ``seq``; each name goes to all of them.
     """
     part = F.pmod(F.xxhash64(seq), F.lit(parts)).cast("int")
-    left = events.select(F.col(key).alias("key"), part.alias("part"), F.col(time).alias("time_at"), F.lit(1).alias("side"),
+    left = events.select(F.col(key).alias("key"), part.alias("part"),
+                         event_time(F.col(time), events.schema[time].dataType).alias("time_at"), F.lit(1).alias("side"),
                          F.col(seq).cast("long").alias("event_seq"), F.lit(None).cast("string").alias("name_text"))
     right = names.select(F.col(key).alias("key"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
-                         F.col(name_time).alias("time_at"), F.lit(0).alias("side"), F.lit(None).cast("long").alias("event_seq"),
+                         event_time(F.col(name_time), names.schema[name_time].dataType).alias("time_at"), F.lit(0).alias("side"), F.lit(None).cast("long").alias("event_seq"),
                          F.col(name).alias("name_text"))
-    both = left.unionByName(right).withWatermark("time_at", f"{delay} microseconds").withColumn("us", F.unix_micros("time_at"))
+    both = left.unionByName(right).withWatermark("time_at", f"{delay} microseconds")
+    both = both.withColumn("us", F.unix_micros("time_at"))
     schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("key", events.schema[key].dataType), T.StructField("name", T.StringType())])
     out = both.groupBy("key", "part").transformWithStateInPandas(_Waiting(wait), schema, "Append", "EventTime")
     return out.select(F.col("seq").alias(seq), F.col("key").alias(key), F.col("name").alias(name))

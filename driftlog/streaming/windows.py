@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlog.functions.clock import micros
+from driftlog.functions.clock import event_time, micros
 from driftlog.operators.windows import window_counts, windowed
 from driftlog.session import numbered_folders
 
@@ -29,10 +29,10 @@ def sessions_stream(df: DataFrame, keys: tuple[str, ...], time: str, gap: int, d
     State is one row per open session of a key; rows later than ``delay``
     (microseconds) behind the greatest event time may be dropped by Spark.
     """
-    kind = df.schema[time].dataType
-    grouped = df.select(*keys, time).withWatermark(time, _span(delay)).groupBy(*keys, F.session_window(time, _span(gap)))
-    found = grouped.agg(F.min(time).alias("_first"), F.max(time).alias("_last"), F.count(F.lit(1)).alias("n_events"))
-    return found.select(*keys, micros(F.col("_first"), kind).alias("session_start"), micros(F.col("_last"), kind).alias("session_end"), "n_events")
+    rows = df.select(*keys, event_time(F.col(time), df.schema[time].dataType).alias("_at")).withWatermark("_at", _span(delay))
+    found = rows.groupBy(*keys, F.session_window("_at", _span(gap))).agg(
+        F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count(F.lit(1)).alias("n_events"))
+    return found.select(*keys, F.unix_micros("_first").alias("session_start"), F.unix_micros("_last").alias("session_end"), "n_events")
 
 
 def first_copies_stream(df: DataFrame, keys: tuple[str, ...], time: str, delay: int) -> DataFrame:
@@ -41,7 +41,8 @@ def first_copies_stream(df: DataFrame, keys: tuple[str, ...], time: str, delay:
     A replayed file or topic gives nothing new as long as its copies are less than
     ``delay`` microseconds of event time behind; a key's state is dropped after that.
     """
-    return df.withWatermark(time, _span(delay)).dropDuplicatesWithinWatermark(list(keys))
+    rows = df.withColumn("_at", event_time(F.col(time), df.schema[time].dataType)).withWatermark("_at", _span(delay))
+    return rows.dropDuplicatesWithinWatermark(list(keys)).select(*df.columns)
 
 
 class WindowStore:
