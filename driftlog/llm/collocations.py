@@ -372,11 +372,11 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         order = np.argsort(keys)
         keys, counts, rows = keys[order], counts[order], []
         for k, place, key in found_in(block)[0]:
-            found, first_at = np.unique(key, return_index=True)
-            at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-            for j in np.flatnonzero(keys[at] == found).tolist():
-                p = int(place[first_at[j]])
-                rows.append((block.langs[block.lang[block.doc[p]]], k, block.text(p, k), int(counts[at[j]])))
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = np.flatnonzero(keys[at] == key)
+            for j, first_hit in zip(*np.unique(at[hit], return_index=True)):
+                p = int(place[hit[first_hit]])
+                rows.append((block.langs[block.lang[block.doc[p]]], k, block.text(p, k), int(counts[j])))
         return pd.DataFrame(rows, columns=["lang", "k", "phrase", "a"])
 
     phrases = staged(asked.repartition(task_count(blocks), "block").groupBy("block").applyInPandas(spell, schema), "frequent")
