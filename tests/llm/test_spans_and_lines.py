@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from llm_cases import odd_rows, union_find, words
 
 from driftlog.llm import line_dedup as lines
@@ -184,3 +185,18 @@ def test_recall_against_edit_similarity_alone(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     removed = sum(r.n_removed for r in lines.dedup_lines(frame, block_bytes=5000).collect())
     assert near > 400 and 0.99 * near <= removed <= near
+
+
+def test_blocks_find_all_lines_within_three_bits():
+    """Also where a block value is split: the lines that share it meet by one of the other bits' blocks."""
+    rnd = np.random.default_rng(6)
+    one = rnd.integers(0, 1 << 16, (3000, lines.PARTS), np.uint16)
+    two = one.copy()
+    for k in range(len(one)):
+        for bit in rnd.choice(128, k % lines.PIGEONS, replace=False):
+            two[k, bit // 16] ^= np.uint16(1 << bit % 16)
+    a, b = lines.block_keys(one), lines.block_keys(two)
+    assert (a == b).any(axis=1).all() and not (a[1:] == a[:-1]).any()
+    row, block = np.nonzero(a == b)
+    finer = [lines.finer_keys(x[row], block, a[row, block]) for x in (one, two)]
+    assert (finer[0] == finer[1]).any(axis=1).all()
