@@ -200,3 +200,23 @@ def test_blocks_find_all_lines_within_three_bits():
     row, block = np.nonzero(a == b)
     finer = [lines.finer_keys(x[row], block, a[row, block]) for x in (one, two)]
     assert (finer[0] == finer[1]).any(axis=1).all()
+
+
+def test_edit_distances_of_many_pairs():
+    """Pairs of every length and alphabet at once, against the one-by-one form; the word bound never below the distance."""
+    rnd = random.Random(17)
+    pairs = [("", ""), ("", "abc"), ("abc", ""), ("a" * 64, "a" * 65), ("ab" * 64, "ba" * 64), ("x" * 300, "y" * 10)]
+    for _ in range(400):
+        alphabet = rnd.choice(["ab", "abcdefghij klm", "日本語é𝔘 z"])
+        a = "".join(rnd.choice(alphabet) for _ in range(rnd.choice([1, 5, 63, 64, 65, 128, 200])))
+        b = list(a)
+        for _ in range(rnd.randrange(12)):
+            at = rnd.randrange(len(b) + 1)
+            b[at:at + rnd.randrange(2)] = rnd.choice(alphabet) * rnd.randrange(2)
+        pairs.append((a, "".join(b) if rnd.random() < 0.8 else "".join(rnd.choice(alphabet) for _ in range(rnd.randrange(150)))))
+    want = [lines.edit_distance(a, b) for a, b in pairs]
+    assert lines.edit_distances(pairs).tolist() == want
+    assert all(lines.word_bound(a, b) >= d for (a, b), d in zip(pairs, want))
+    for least in (0.5, 0.8, 0.95):
+        assert lines.all_similar(pairs, least) == [lines.similar(a, b, least) for a, b in pairs]
+    assert lines.all_similar([]) == []
