@@ -51,11 +51,6 @@ def shingles(words: Column, width: int) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
-def seeded(hashes: Column, seed: int) -> Column:
-    """Each hash hashed anew with a seed."""
-    return F.transform(hashes, lambda x: F.xxhash64(x, F.lit(seed)))
-
-
 def simhash(hashes: Column) -> Column:
     """256-bit SimHash of an array of hashes, as four longs: a bit is set if it is in over half of them."""
     def votes(some: Column, bit: Column) -> Column:
@@ -66,7 +61,8 @@ def simhash(hashes: Column) -> Column:
     def word(some: Column) -> Column:
         return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"), lambda fp, bit: fp.bitwiseOR(votes(some, bit)))
 
-    return F.array(*[let(seeded(hashes, k), word) for k in range(SEEDS)])
+    return F.transform(F.sequence(F.lit(0), F.lit(SEEDS - 1)),
+                       lambda seed: let(F.transform(hashes, lambda x: F.xxhash64(x, seed)), word))
 
 
 def distance(f: Column, g: Column) -> Column:
@@ -77,13 +73,16 @@ def distance(f: Column, g: Column) -> Column:
 
 def blocks(fp: Column, ball: bool) -> Column:
     """``(block, value)`` of each block of a fingerprint; with ``ball`` also the values one bit away."""
-    def of(k: int) -> list[Column]:
-        word, shift = divmod(k * BLOCK_BITS, BITS)
-        value = F.call_function("shiftrightunsigned", F.get(fp, F.lit(word)), F.lit(shift)).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1).cast("long"))
-        near = [value.bitwiseXOR(F.lit(1 << i).cast("long")) for i in range(BLOCK_BITS)] if ball else []
-        return [F.struct(F.lit(k).alias("block"), v.alias("value")) for v in [value, *near]]
+    in_word = BITS // BLOCK_BITS
+    number = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
+    masks = F.array(F.lit(0).cast("long"), *[F.lit(1 << i).cast("long") for i in range(BLOCK_BITS if ball else 0)])
+
+    def value(k: Column) -> Column:
+        word = F.get(fp, F.floor(k / in_word).cast("int"))
+        return F.call_function("shiftrightunsigned", word, (k % in_word) * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1).cast("long"))
 
-    return F.array(*[x for k in range(BLOCKS) for x in of(k)])
+    return F.flatten(F.transform(number, lambda k: F.transform(masks, lambda m: F.struct(
+        k.alias("block"), value(k).bitwiseXOR(m).alias("value")))))
 
 
 def _shared(a: Column, b: Column) -> Column:
