@@ -147,7 +147,8 @@ def latest_per_key(df: DataFrame, keys: list[str] | tuple[str, ...], value: str,
     if not isinstance(order, tuple):
         last = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max(order).alias("_last"))
         same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col(order).eqNullSafe(F.col("_last"))]
-        return df.join(last, reduce(and_, same), "left_semi").groupBy(*keys).agg(F.max(value).alias(out_col))
+        # a set of the values that are last (one, but for equal orders): text has no maximum in a hash aggregation
+        return df.join(last, reduce(and_, same), "left_semi").groupBy(*keys).agg(F.array_max(F.collect_set(value)).alias(out_col))
     first, last = order[:-1], order[-1]
     per_value = df.groupBy(*keys, *first, F.col(value).alias("_value")).agg(F.max(last).alias("_last"))
     by = F.struct(*first, "_last") if first else F.col("_last")
