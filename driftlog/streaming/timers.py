@@ -34,61 +34,91 @@ def _held(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame | None:
 
 
 class _RunningCounts(StatefulProcessor):
-    """Map state per key: ``item -> (count, time of its last row)``; a timer for the first of them that expires."""
+    """Value state per bucket of keys: ``(key, item) -> (count, time of its last row)``, and the one timer that is pending.
 
-    def __init__(self, idle: int) -> None:
+    A bucket costs a few calls from Python to the JVM per batch (state read, state
+    written, a timer if none is pending), whatever the number of its keys and items.
+    """
+
+    def __init__(self, idle: int, width: int) -> None:
         self.idle = idle
+        self.width = width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getMapState("counts", T.StructType([T.StructField("item", T.StringType())]),
-                                         T.StructType([T.StructField("cnt", T.LongType()), T.StructField("last", T.LongType())]))
+        texts, numbers = T.ArrayType(T.StringType()), T.ArrayType(T.LongType())
+        self.counts = handle.getValueState("counts", T.StructType([
+            T.StructField("keys", texts), T.StructField("items", texts), T.StructField("cnts", numbers),
+            T.StructField("lasts", numbers), T.StructField("timer", T.LongType())]))
+
+    def _read(self) -> tuple[dict, int | None]:
+        held = self.counts.get()
+        if held is None:
+            return {}, None
+        keys, items, cnts, lasts, timer = held
+        return dict(zip(zip(keys, items), zip(cnts, lasts))), timer
+
+    def _write(self, known: dict, timer: int | None, passed: int = 0) -> None:
+        if timer is None:
+            timer = max(_timer(min(last for _, last in known.values()) + self.idle, self.idle), passed)
+            self.handle.registerTimer(timer)
+        self.counts.update(([k for k, _ in known], [i for _, i in known], [c for c, _ in known.values()], [t for _, t in known.values()], timer))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _held(rows, ["us", "seq"])
+        frame = _held(rows, ["us", "no_seq", "seq"])
         if frame is None:
             return
-        known, out = {}, []
-        for item, at in zip(frame["item"], frame["us"]):
-            if item not in known:
-                known[item] = self.counts.getValue((item,)) if self.counts.exists() and self.counts.containsKey((item,)) else (0, None)
-            count, last = known[item]
-            known[item] = (1 if last is None or at - last > self.idle else count + 1, int(at) if last is None else max(int(at), last))
-            out.append(known[item][0])
-        for item, value in known.items():
-            self.counts.updateValue((item,), value)
-        self.handle.registerTimer(_timer(min(last for _, last in known.values()) + self.idle, self.idle))
-        yield pd.DataFrame({"seq": frame["seq"].to_numpy(), **{f"key{i}": k for i, k in enumerate(key)}, "item": frame["item"].to_numpy(), "cnt": out})
+        known, timer = self._read()
+        out = []
+        for of, at in zip(zip(frame["key"].tolist(), frame["item"].tolist()), frame["us"].tolist()):
+            count, last = known.get(of, (0, None))
+            known[of] = count, _ = (1, at) if last is None else (1 if at - last > self.idle else count + 1, max(at, last))
+            out.append(count)
+        self._write(known, timer)
+        if frame["no_seq"].any():
+            frame["seq"] = frame["seq"].convert_dtypes().mask(frame["no_seq"])
+        for i in range(self.width):
+            if int(key[0]) >> i & 1:
+                frame[f"key{i}"] = None
+        yield frame.drop(columns=["bucket", "key", "no_seq", "time", "us"], errors="ignore").assign(cnt=out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = expiredTimerInfo.getExpiryTimeInMs() * MILLIS
-        left = []
-        for (item,), (_, last) in list(self.counts.iterator()):
-            if last + self.idle < passed:
-                self.counts.removeKey((item,))
-            else:
-                left.append(last)
+        passed = timerValues.getCurrentWatermarkInMs()
+        left = {of: (count, last) for of, (count, last) in self._read()[0].items() if last + self.idle >= passed * MILLIS}
         if left:
-            self.handle.registerTimer(_timer(min(left) + self.idle, self.idle))
+            self._write(left, None, passed + 1)
+        else:
+            self.counts.clear()
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def expiring_counts_stream(df: DataFrame, keys: tuple[str, ...], item: str, seq: str, time: str, idle: int, delay: int) -> DataFrame:
+def expiring_counts_stream(df: DataFrame, keys: tuple[str, ...], item: str, seq: str, time: str, idle: int, delay: int,
+                           buckets: int = 256) -> DataFrame:
     """Every row with the running count of its ``item`` within its key; a count starts anew after ``idle`` microseconds without rows.
 
     ``seq, keys, item, cnt`` per input row.  State that the watermark (``delay``
     behind the greatest event time) has passed by ``idle`` is dropped by timers;
-    rows behind the watermark are dropped by Spark.
+    rows behind the watermark are dropped by Spark.  Keys are dealt into ``buckets``
+    by their hash and the counts of a bucket are one state value: so many buckets
+    that each has some hundred keys, and always as many for one checkpoint.
     """
-    named = [F.col(k).alias(f"key{i}") for i, k in enumerate(keys)]
-    rows = df.select(F.col(seq).alias("seq"), *named, F.col(item).cast("string").alias("item"),
+    text = F.to_json(F.struct(*[F.col(k).cast("string").alias(f"key{i}") for i, k in enumerate(keys)]))
+    # pandas has no nulls among whole numbers, so these are 0: a bucket's keys are null in the same columns, which its number tells
+    def filled(c: str):
+        return F.coalesce(F.col(c), F.lit(0)).cast(df.schema[c].dataType) if isinstance(df.schema[c].dataType, T.IntegralType) else F.col(c)
+
+    named = [filled(k).alias(f"key{i}") for i, k in enumerate(keys)]
+    nulls = sum((F.col(k).isNull().cast("long") * F.lit(1 << i) for i, k in enumerate(keys)), F.lit(0).cast("long"))
+    rows = df.select((F.pmod(F.xxhash64(*keys), F.lit(buckets)) * F.lit(1 << len(keys)) + nulls).alias("bucket"), text.alias("key"),
+                     filled(seq).alias("seq"), F.col(seq).isNull().alias("no_seq"), *named, F.col(item).cast("string").alias("item"),
                      event_time(F.col(time), df.schema[time].dataType).alias("time"))
     rows = rows.withWatermark("time", f"{delay} microseconds").withColumn("us", F.unix_micros("time"))
-    schema = T.StructType([*[rows.schema[c] for c in ("seq", *[f"key{i}" for i in range(len(keys))], "item")], T.StructField("cnt", T.LongType())])
-    out = rows.groupBy(*[f"key{i}" for i in range(len(keys))]).transformWithStateInPandas(_RunningCounts(idle), schema, "Append", "EventTime")
+    schema = T.StructType([T.StructField("seq", df.schema[seq].dataType), *[T.StructField(f"key{i}", df.schema[k].dataType) for i, k in enumerate(keys)],
+                           T.StructField("item", T.StringType()), T.StructField("cnt", T.LongType())])
+    out = rows.groupBy("bucket").transformWithStateInPandas(_RunningCounts(idle, len(keys)), schema, "Append", "EventTime")
     return out.select(F.col("seq").alias(seq), *[F.col(f"key{i}").alias(k) for i, k in enumerate(keys)], F.col("item").alias(item), "cnt")
 
 

@@ -2,15 +2,16 @@
 
 import os
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from driftlog.operators import sessions, windows
 from driftlog.session import STREAM_CONF, numbered_folders
-from driftlog.streaming.timers import expiring_counts_stream, named_when_known_stream
+from driftlog.streaming.timers import _RunningCounts, expiring_counts_stream, named_when_known_stream
 from driftlog.streaming.windows import WindowStore, first_copies_stream, sessions_stream, windowed_counts_stream
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -151,6 +152,52 @@ def test_expiring_counts_equal_a_replay_over_a_restart(rocks, workdir):
     assert got == want and {c for _, _, _, c in want} >= {1, 2, 3}
 
 
+def test_expiring_counts_of_many_keys_cost_few_state_calls():
+    """The state of a bucket is read and written once, whatever the number of its keys."""
+    calls, held = Counter(), {}
+
+    class Handle:
+        def getValueState(self, name, schema, ttl=None):
+            return self
+
+        def get(self):
+            calls["get"] += 1
+            return held.get("value")
+
+        def update(self, value):
+            calls["update"] += 1
+            held["value"] = value
+
+        def registerTimer(self, at):
+            calls["timer"] += 1
+
+    counts = _RunningCounts(15 * 1_000_000, 1)
+    counts.init(Handle())
+    rows = pd.DataFrame({"key": [f"k{i % 500}" for i in range(2000)], "item": [f"i{i % 3}" for i in range(2000)], "seq": range(2000),
+                         "no_seq": False, "key0": [f"k{i % 500}" for i in range(2000)], "us": range(2000)})
+    found = [pd.concat(counts.handleInputRows((0,), iter([part]), None)) for part in (rows[:1500], rows[1500:])]
+    assert calls == {"get": 2, "update": 2, "timer": 1}
+    want = rows.groupby(["key", "item"]).cumcount() + 1
+    assert pd.concat(found)["cnt"].tolist() == want.tolist()
+
+
+def test_expiring_counts_of_null_and_long_keys_in_shared_buckets(rocks, workdir):
+    spark, schema, big = rocks, "seq long, k long, n string, item string, t timestamp", (1 << 60) + 1
+    rnd = random.Random(5)
+    rows = [(None if i % 40 == 7 else big + i, rnd.choice([None, big, big + 1, 3]), rnd.choice([None, "a", '"b', "a,b"]),
+             rnd.choice([None, "view"]), rnd.randrange(100)) for i in range(300)]
+    src, out, ck = (os.path.join(workdir, x) for x in ("in", "out", "ck"))
+    feed(spark, src, schema, [[(*r[:4], at(r[4])) for r in rows]])
+    drain(expiring_counts_stream(stream(spark, src, schema), ("k", "n"), "item", "seq", "t", 2 * SECOND, 200 * SECOND, buckets=2), out, ck)
+    want, state = [], {}
+    for seq, k, n, item, s in sorted(rows, key=lambda r: (r[4], r[0] is None, r[0] or 0)):
+        count, last = state.get((k, n, item), (0, -100))
+        state[k, n, item] = (1 if s - last > 2 else count + 1, s)
+        want.append((seq, k, n, item, state[k, n, item][0]))
+    got = [(r.seq, r.k, r.n, r.item, r.cnt) for r in spark.read.parquet(out).collect()]
+    assert Counter(got) == Counter(want)
+
+
 @pytest.mark.parametrize("parts", [1, 3])
 def test_waiting_events_come_out_once(rocks, workdir, parts):
     """Events and names arrive interleaved in any order; each event leaves once, named if its name came in time."""
