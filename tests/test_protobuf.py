@@ -79,3 +79,14 @@ def test_frames_are_bounded_and_complete(spark):
     got = decode_log_batches(df, native=False, item_col="item", frame_rows=4).collect()
     assert sorted((r.uid, r.item) for r in got) == sorted(2 * [(f"u{i}", i) for i in range(25)])
     assert native_available(spark) in (True, False)
+
+
+def test_decoder_holds_one_small_frame_and_keeps_columns_exact(spark):
+    """Rows leave in frames of at most ten thousand; kept whole numbers with nulls among them do not pass through pandas."""
+    from driftlog.sources import protobuf
+    beans, _ = message_classes()
+    m = beans()
+    m.logBeans.add().uid = "u"
+    df = spark.createDataFrame([(None, m.SerializeToString()), ((1 << 60) + 1, m.SerializeToString())], "seq long, payload binary").coalesce(1)
+    got = decode_log_batches(df, native=False, keep=("seq",)).collect()
+    assert {r.seq for r in got} == {None, (1 << 60) + 1} and protobuf.FRAME_ROWS <= 10_000
