@@ -202,6 +202,35 @@ def test_blocks_find_all_lines_within_three_bits():
     assert (finer[0] == finer[1]).any(axis=1).all()
 
 
+def test_no_run_is_dropped_for_its_many_lines(spark):
+    """Each line has runs that far more than ``FULL`` lines share, and a partner that is like it but shares no rarer run."""
+    rnd = random.Random(23)
+    rows, near = [], 0
+    common = [words(rnd, lines.RUN, 40) for _ in range(3)]
+    for k in range(120):  # few words: the radius does not bind them, their fingerprints are far apart
+        w = ["".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(9)) for _ in range(4)]
+        v = [x[:4] + rnd.choice("aeiou") + x[5:] for x in w]
+        for text in ((*common[0], *w), (*common[0], *v)):
+            rows.append((len(rows), " ".join(text)))
+        near += lines.similar(rows[-1][1], rows[-2][1])
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    removed = sum(r.n_removed for r in lines.dedup_lines(frame, block_bytes=4000).collect())
+    assert near == 120 and removed == near
+
+
+def test_tiles_hold_every_pair_of_a_key():
+    rnd = np.random.default_rng(8)
+    hashes = rnd.integers(0, 1 << 63, 200, np.uint64)
+    for parts in (1, 2, 3, 7):
+        keys, of = lines.tiles(np.full(200, 99, np.uint64), hashes, np.full(200, parts, np.int64))
+        together = np.eye(200, dtype=bool)
+        for key in np.unique(keys):
+            here = of[keys == key]
+            together[np.ix_(here, here)] = True
+            assert len(set((hashes[here] % np.uint64(parts)).tolist())) <= 2
+        assert together.all() and len(keys) == 200 * max(1, parts - 1)
+
+
 def test_edit_distances_of_many_pairs():
     """Pairs of every length and alphabet at once, against the one-by-one form; the word bound never below the distance."""
     rnd = random.Random(17)
