@@ -249,3 +249,60 @@ def test_edit_distances_of_many_pairs():
     for least in (0.5, 0.8, 0.95):
         assert lines.all_similar(pairs, least) == [lines.similar(a, b, least) for a, b in pairs]
     assert lines.all_similar([]) == []
+
+
+def test_pairs_that_fail_are_not_rows(spark, monkeypatch):
+    """Lines of the same words in another order share all block keys and fail; some have a partner that only a pair between parts finds."""
+    rnd = random.Random(29)
+    w = words(rnd, 40)
+    rows = []
+    for _ in range(90):
+        rnd.shuffle(w)
+        rows.append((len(rows), " ".join(w)))
+    for k in range(0, 90, 3):
+        v = rows[k][1].split()
+        v[5:7] = v[6:4:-1]
+        rows.append((len(rows), " ".join(v)))
+    sizes, staged = {}, lines.staged
+
+    def counted(frame, name):
+        out = staged(frame, name)
+        sizes[name] = sizes.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(lines, "staged", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in lines.dedup_lines(frame, block_bytes=4000).collect() if r.n_removed}
+    assert got == set(range(90, 120))
+    assert max(sizes.values()) < 4 * len(rows)
+
+
+def test_tiles_have_each_pair_once():
+    rnd = np.random.default_rng(9)
+    hashes = rnd.integers(0, 1 << 63, 150, np.uint64)
+    for n in (1, 2, 3, 7):
+        parts = np.full(150, n, np.int64)
+        keys, of = lines.tiles(np.full(150, 99, np.uint64), hashes, parts)
+        side, own = lines.sides(hashes, parts)
+        seen = np.zeros((150, 150), int)
+        for key in np.unique(keys):
+            here = np.flatnonzero(keys == key)
+            for x in here:
+                for y in here:
+                    seen[of[x], of[y]] += bool(x != y and (own[x] or side[x] != side[y]))
+        assert (seen + np.eye(150, dtype=int) == 1).all()
+
+
+def test_long_pairs_settled_by_their_heads():
+    rnd = random.Random(31)
+    pairs = []
+    for _ in range(160):
+        a = "".join(rnd.choice("abcd ") for _ in range(rnd.randrange(180, 260)))
+        b = list(a)
+        for _ in range(rnd.choice([5, 30, 45, 60])):
+            b[rnd.randrange(len(b))] = rnd.choice("abcd")
+        pairs.append((a, "".join(b) if rnd.random() < 0.6 else "".join(rnd.choice("abcd ") for _ in range(len(a)))))
+    want = [lines.similar(a, b) for a, b in pairs]
+    assert 40 < sum(want) < 120 and lines.all_similar(pairs) == want
+    heads = [("", "abc"), ("ab", ""), *((a[:rnd.randrange(90)], b[:rnd.randrange(130)]) for a, b in pairs[:12])]
+    assert lines.edit_distances(heads, True).tolist() == [min(slow_distance(a, b[:k]) for k in range(len(b) + 1)) for a, b in heads]
