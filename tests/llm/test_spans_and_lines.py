@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 from llm_cases import odd_rows, union_find, words
+from xxhash import xxh64_intdigest
 
 from driftlog.llm import line_dedup as lines
 from driftlog.llm import relative_lz as lz
@@ -306,3 +307,69 @@ def test_long_pairs_settled_by_their_heads():
     assert 40 < sum(want) < 120 and lines.all_similar(pairs) == want
     heads = [("", "abc"), ("ab", ""), *((a[:rnd.randrange(90)], b[:rnd.randrange(130)]) for a, b in pairs[:12])]
     assert lines.edit_distances(heads, True).tolist() == [min(slow_distance(a, b[:k]) for k in range(len(b) + 1)) for a, b in heads]
+
+
+def test_keys_fill_their_buckets_evenly():
+    """Runs are the smallest hashes of many; as keys they are spread, so that no bucket holds much more than its share."""
+    rnd = random.Random(37)
+    texts = ["\n".join(" ".join(words(rnd, 60, 5000)) for _ in range(20)).encode() for _ in range(40)]
+    block = lines._Block(lines._encode(list(range(len(texts))), texts, [()] * len(texts))[0])
+    held = np.diff(lines.bucket_edges(np.sort(block.runs), 16))
+    assert held.sum() == 800 * (lines.KEYS + lines.PIGEONS) and held.max() < 1.5 * held.mean()
+
+
+def test_pairs_within_their_limit():
+    """Just at the distance and just below it, also where the columns near the diagonal are few, against the one-by-one form."""
+    rnd = random.Random(41)
+    pairs = []
+    for _ in range(500):
+        alphabet = rnd.choice(["ab", "abcdefghij klm", "日本語é𝔘 z", "".join(chr(300 + k) for k in range(200))])
+        a = "".join(rnd.choice(alphabet) for _ in range(rnd.choice([1, 2, 63, 64, 65, 128, 129, 300, 700])))
+        b = list(a)
+        for _ in range(1 + int(rnd.choice([0, 0.05, 0.2, 0.5]) * len(a))):
+            at = rnd.randrange(len(b) + 1)
+            b[at:at + rnd.randrange(2)] = rnd.choice(alphabet) * rnd.randrange(2)
+        cut = rnd.randrange(1 + len(a) // 8)
+        b = "".join(b[cut:] + b[:cut]) or "a"
+        pairs += [(a, b), (b, a)]
+    far = np.array([lines.edit_distance(a, b) for a, b in pairs])
+    assert lines.within(pairs, far.astype(float)).all()
+    some = [k for k, (a, b) in enumerate(pairs) if far[k] > max(1, abs(len(a) - len(b)))]
+    assert len(some) > 300 and not lines.within([pairs[k] for k in some], far[some] - 1.0).any()
+
+
+def test_each_pair_is_compared_once():
+    """Only where the lowest key that both lines have is; and of pairs that wait, the nearest of each part first."""
+    rnd = np.random.default_rng(43)
+    keys = np.zeros((60, 10), np.uint64)
+    for row in keys:
+        n = rnd.integers(1, 11)
+        row[:n] = np.sort(rnd.choice(25, n, replace=False) + 1)
+    held = {k: [x for x in range(60) if k in keys[x]] for k in range(1, 26)}
+    seen = np.zeros((60, 60), int)
+    for key, some in held.items():
+        x, y = (np.array(z) for z in zip(*[(x, y) for x in some for y in some if x < y]))
+        ok = lines.lowest_shared(keys, x, y, np.full(len(x), key, np.uint64))
+        seen[x[ok], y[ok]] += 1
+    for x in range(60):
+        for y in range(x + 1, 60):
+            assert seen[x, y] == bool(set(keys[x]) & set(keys[y]) - {0})
+    one, two = np.array([3, 3, 5, 7, 3]), np.array([5, 7, 7, 8, 8])
+    assert lines.nearest(one, two, 1).tolist() == [True, True, False, True, False]
+    assert lines.nearest(one, two, 2).tolist() == [True, True, True, True, True]
+    parts = lines._Parts(6)
+    assert parts.join([(4, 5), (1, 4), (5, 1), (0, 2)]) == [(4, 5), (1, 4), (0, 2)] and parts.root.tolist() == [0, 1, 0, 3, 1, 1]
+
+
+def test_whole_texts_are_normalised_as_their_lines():
+    texts = ["", "\n\n", "A b_C\n\n ...\nd\te ", "İstanbul ΣΑΣ σας\nx", "É ß ẞ ǅ 日本 語\x1f1²³½ Ⅷ\n_", "w " * 40 + "x" * 33 + "\r\n" + "y" * 32, "ab cd"]
+    plain = [lines.normalised(x) for t in texts for x in t.split("\n")]
+    places, some = lines.plain_lines(texts)
+    assert places.tolist() == [k for k, x in enumerate(plain) if x] and some == [x for x in plain if x]
+    counts, hashes = lines.word_hashes(some)
+    want = [xxh64_intdigest(w.encode(), 42) for x in some for w in x.split()]
+    assert counts.tolist() == [len(x.split()) for x in some] and hashes.tolist() == want
+    for x in some:  # a majority of the words' bits
+        both = [(h, int(lines.mixed(np.array([h ^ 0x9E3779B97F4A7C15], np.uint64))[0])) for h in (xxh64_intdigest(w.encode(), 42) for w in x.split())]
+        bits = [sum(2 * sum(p[k] >> b & 1 for p in both) > len(both) and 1 << b for b in range(64)) for k in range(2)]
+        assert lines.fingerprints([x]).view("<u8")[0].tolist() == bits
