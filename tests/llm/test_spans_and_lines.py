@@ -4,6 +4,7 @@ import numpy as np
 from llm_cases import odd_rows, union_find, words
 from xxhash import xxh64_intdigest
 
+from driftlog.llm import common
 from driftlog.llm import line_dedup as lines
 from driftlog.llm import relative_lz as lz
 
@@ -373,3 +374,9 @@ def test_whole_texts_are_normalised_as_their_lines():
         both = [(h, int(lines.mixed(np.array([h ^ 0x9E3779B97F4A7C15], np.uint64))[0])) for h in (xxh64_intdigest(w.encode(), 42) for w in x.split())]
         bits = [sum(2 * sum(p[k] >> b & 1 for p in both) > len(both) and 1 << b for b in range(64)) for k in range(2)]
         assert lines.fingerprints([x]).view("<u8")[0].tolist() == bits
+
+
+def test_a_reused_worker_lets_go_of_its_tokenizers():
+    common._TOKENIZERS["x"] = object()
+    lines._encode([1], [b"some line"], [()])
+    assert not common._TOKENIZERS
